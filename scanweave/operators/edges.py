@@ -80,6 +80,8 @@ def resolve_endpoints(
     should be a stored table when ``split_heavy`` is on, see ``heavy_keys``.
     """
     bound = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
+    if split_heavy:
+        bound["total"] = edges.count()
     rows = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
     others = [c for c in edges.columns if c not in (src, dst)]
     for end, name, kinds in ((src, "src", src_kinds), (dst, "dst", dst_kinds)):

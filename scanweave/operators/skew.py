@@ -32,6 +32,7 @@ def heavy_keys(
     *,
     rows_per_task: int = ROWS_PER_TASK,
     support: float = 1e-3,
+    total: int | None = None,
 ) -> HeavyKeys:
     """Find every key with more than ``rows_per_task`` rows and a share above ``support``.
 
@@ -42,7 +43,7 @@ def heavy_keys(
     costs balance, never rows.
     """
     columns = tuple(columns)
-    if df.count() <= rows_per_task:
+    if (df.count() if total is None else total) <= rows_per_task:
         return HeavyKeys(columns)
     hashed = df.dropna(subset=list(columns)).select(F.xxhash64(*columns).alias("key"))
     candidates = hashed.stat.freqItems(["key"], support).first()[0]
