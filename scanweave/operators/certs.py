@@ -24,14 +24,17 @@ _ARROW = pa.struct(
 _BLOCK = r"(?ms)^-----BEGIN ([^\n]*?)-----[ \t\r]*\n(.*?)^-----END \1-----[ \t\r]*$"
 
 
-@F.arrow_udf(from_arrow_type(_ARROW))
-def _fields(der: pa.Array) -> pa.Array:
-    return pa.array([v.is_valid and fields(v.as_py()) or None for v in der], _ARROW)
+def _parse(der: pa.Array) -> pa.Array:
+    return pa.array([fields(v) if v is not None else None for v in der.to_pylist()], _ARROW)
 
 
-def certificate_der(pem: Column) -> Column:
-    """DER bytes of the first PEM block that can be decoded; null unless it is a
-    certificate without PEM headers."""
+# Called non-deterministic so that a filter on its result is not pushed below it,
+# where it would run a second time.
+_fields = F.arrow_udf(_parse, from_arrow_type(_ARROW)).asNondeterministic()
+
+
+def _first_block(pem: Column) -> Column:
+    """First PEM block that can be decoded, as ``(kind, headers, der)``."""
     blocks = F.arrays_zip(
         F.regexp_extract_all(pem, F.lit(_BLOCK), 1).alias("kind"),
         F.regexp_extract_all(pem, F.lit(_BLOCK), 2).alias("body"),
@@ -44,8 +47,7 @@ def certificate_der(pem: Column) -> Column:
             F.try_to_binary(F.regexp_replace(b["body"], r"\s", ""), F.lit("base64")).alias("der"),
         ),
     )
-    first = F.get(F.filter(opened, lambda b: b["headers"] | b["der"].isNotNull()), F.lit(0))
-    return F.when((first["kind"] == "CERTIFICATE") & ~first["headers"], first["der"])
+    return F.get(F.filter(opened, lambda b: b["headers"] | b["der"].isNotNull()), F.lit(0))
 
 
 def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
@@ -56,7 +58,11 @@ def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
     expressions; only the DER bytes go through Python, in Arrow batches.
     """
     passed = [c for c in df.columns if c != pem]
-    rows = df.withColumn("_der", certificate_der(F.col(pem))).withColumn("_x", _fields("_der"))
+    # One column after the other: each is computed once, however often it is used.
+    usable = (F.col("_block.kind") == "CERTIFICATE") & ~F.col("_block.headers")
+    rows = df.withColumn("_block", _first_block(F.col(pem)))
+    rows = rows.withColumn("_der", F.when(usable, F.col("_block.der"))).drop("_block")
+    rows = rows.withColumn("_x", _fields("_der"))
     known = F.col("_x").isNotNull()
     names = F.col("_x.altNames")
     return rows.select(

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from datetime import datetime, timedelta, timezone
+from datetime import datetime
+from functools import lru_cache
 
-EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+EPOCH = datetime(1970, 1, 1)
 
 # DER tags.
 BOOLEAN, INTEGER, BIT_STRING, OCTET_STRING, OID = 0x01, 0x02, 0x03, 0x04, 0x06
@@ -92,6 +93,7 @@ def _boolean(content: bytes) -> bool:
     return content == b"\xff"
 
 
+@lru_cache(maxsize=4096)
 def _oid(content: bytes) -> str:
     arcs, value = [], 0
     for i, byte in enumerate(content):
@@ -149,8 +151,13 @@ def _hex_value(text: str) -> str:
     return (bytes([tag]) + size + body).hex()
 
 
-def _name(reader: Reader) -> str:
-    """RFC 2253 style text: known attributes grouped by kind, others by number."""
+@lru_cache(maxsize=4096)
+def _name(content: bytes) -> str:
+    """RFC 2253 style text: known attributes grouped by kind, others by number.
+
+    Issuers repeat, so the last few thousand names are kept.
+    """
+    reader = Reader(content)
     named: dict[str, list[str]] = {}
     other: list[str] = []
     while reader.more():
@@ -186,11 +193,13 @@ def _micros(reader: Reader) -> int:
         raise Malformed("time")
     digits, seconds, zone = match.groups()
     year = int(text[:2] + digits[:2])
+    month, day, hour, minute = (int(digits[i : i + 2]) for i in (2, 4, 6, 8))
     # Year 0 is a valid one here but not in Python: count from 400 years later.
     shift = 400 if year == 0 else 0
-    stamp = f"{year + shift:04}{digits[2:]}{seconds or '00'}{zone.replace('Z', '+0000')}"
-    moment = datetime.strptime(stamp, "%Y%m%d%H%M%S%z")
-    return (moment - EPOCH) // timedelta(microseconds=1) - (146097 * 86400 * 10**6 if shift else 0)
+    moment = datetime(year + shift, month, day, hour, minute, int(seconds or 0)) - EPOCH
+    days = moment.days - (146097 if shift else 0)
+    offset = 0 if zone == "Z" else int(zone[0] + "1") * (int(zone[1:3]) * 60 + int(zone[3:])) * 60
+    return (days * 86400 + moment.seconds - offset) * 10**6
 
 
 def _dns_names(value: bytes) -> list[str]:
@@ -247,10 +256,10 @@ def fields(der: bytes) -> dict | None:
             raise Malformed("version")
         body.take(INTEGER)
         body.take(SEQUENCE)
-        issuer = _name(body.inside(SEQUENCE))
+        issuer = _name(body.take(SEQUENCE))
         validity = body.inside(SEQUENCE)
         begin, end = _micros(validity), _micros(validity)
-        subject = _name(body.inside(SEQUENCE))
+        subject = _name(body.take(SEQUENCE))
         key = body.raw(SEQUENCE)[2]
         extensions: dict[bytes, bytes] = {}
         if version > 1:
