@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -57,8 +57,9 @@ def resolve_cnames(
     form a dense mesh yields as many rows as it has paths. With ``bag=False``
     every pair of a record comes once, and each owner's names are searched breadth first.
     """
-    rows = records.select(*keep, _clean(F.col(answers)).alias("_answers"))
-    rows = rows.where(F.size("_answers") > 0).withColumns(
+    rows = records.where(F.size(answers) > 0)
+    rows = rows.select(*keep, _clean(F.col(answers)).alias("_answers"))
+    rows = rows.withColumns(
         {
             "_hosts": _addresses(F.col("_answers")),
             "_alias": F.filter("_answers", lambda a: a["type"] == ALIAS_TYPE),
@@ -80,6 +81,11 @@ def resolve_cnames(
     return rows.select(*keep, F.inline(pairs if bag else F.array_distinct(pairs)))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _paths(alias: Column) -> Column:
     """``[(root, [name])]``, one entry per loop-free path. A path grows by one alias
     per round, so there are at most as many rounds as aliases."""
@@ -103,8 +109,12 @@ def _paths(alias: Column) -> Column:
         )
 
     def round_(state: Column, _: Column) -> Column:
-        longer = F.flatten(F.transform(state["tips"], grow))
-        return F.struct(longer.alias("tips"), F.concat(state["all"], longer).alias("all"))
+        return _let(
+            F.flatten(F.transform(state["tips"], grow)),
+            lambda longer: F.struct(
+                longer.alias("tips"), F.concat(state["all"], longer).alias("all")
+            ),
+        )
 
     start = F.struct(first.alias("tips"), first.alias("all"))
     found = F.aggregate(alias, start, round_)["all"]
@@ -119,8 +129,12 @@ def _closure(alias: Column) -> Column:
     def reach(root: Column) -> Column:
         def round_(state: Column, _: Column) -> Column:
             onward = F.filter(alias, lambda c: F.array_contains(state["tips"], c["name"]))
-            fresh = F.array_except(F.transform(onward, lambda c: c["data"]), state["seen"])
-            grown = F.struct(fresh.alias("tips"), F.concat(state["seen"], fresh).alias("seen"))
+            grown = _let(
+                F.array_except(F.transform(onward, lambda c: c["data"]), state["seen"]),
+                lambda fresh: F.struct(
+                    fresh.alias("tips"), F.concat(state["seen"], fresh).alias("seen")
+                ),
+            )
             return F.when(F.size(state["tips"]) > 0, grown).otherwise(state)
 
         start = F.struct(F.array(root).alias("tips"), F.array(root).alias("seen"))

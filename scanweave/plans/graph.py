@@ -77,13 +77,16 @@ def build_graph(
     work: str | None = None,
     match_source: bool = True,
     partitions: int | None = None,
+    cluster: bool = True,
     resume: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the eleven tables below ``out`` as Parquet and return scans of them.
 
     Steps that feed several others are stored in ``work`` (by default a folder
     in the checkpoint directory). With ``resume`` and the same folders, steps a
-    former run has finished are read instead of computed.
+    former run has finished are read instead of computed. ``cluster`` sorts the
+    output files by id ranges; to find the ranges, the last join of a table runs
+    once more over its shuffled input.
     """
     spark = hosts.sparkSession
     rules = rules or SuffixRules(spark)
@@ -94,7 +97,11 @@ def build_graph(
 
     def save(name: str, df: DataFrame, by: Sequence[str]) -> DataFrame:
         return materialize(
-            df, f"{out}/{name}", range_by=by, partitions=partitions, resume=resume
+            df,
+            f"{out}/{name}",
+            range_by=by if cluster else (),
+            partitions=partitions,
+            resume=resume,
         )
 
     hosts = clean_names(hosts, "server_name")

@@ -108,3 +108,11 @@ def test_bad_rows_are_kept_apart(spark, prefix):
     assert sorted(r.id for r in parsed(annotated).select("id").collect()) == [good, good + 1]
     assert rejected(annotated).count() == good
     assert "cert" not in annotated.columns
+
+
+def test_python_sees_each_row_once(spark):
+    df = spark.createDataFrame([(1, pem("san"))], "id int, cert string")
+    plan = parse_certificates(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    # Two calls (kind and body of the blocks), not two per use of the result.
+    assert plan.count("regexp_extract_all") == 2
