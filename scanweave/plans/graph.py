@@ -25,6 +25,7 @@ from ..operators.nodes import (
     valid_certs,
 )
 from ..operators.skew import heavy_keys
+from ..schemas import GRAPH_COLUMNS
 from ..sinks.graph import write_graph_table
 from ..sources.files import clean_names
 from ..sources.snapshots import ingest_scans, read_snapshot
@@ -222,7 +223,10 @@ def run(
     ``dates`` limits the graph to some scans. ``kind="csv"`` adds import files.
     """
     ingest_scans(spark, folders, store)
-    scans = {t: read_snapshot(spark, f"{store}/{t}", dates=dates) for t in ("hosts", "http", "certs", "dns")}
+    scans = {
+        name: read_snapshot(spark, f"{store}/{name}", columns, dates)
+        for name, columns in GRAPH_COLUMNS.items()
+    }
     if kind == "parquet":
         return build_graph(**scans, out=out, **options)
     tables = build_graph(**scans, out=f"{store}/graph", **options)

@@ -23,3 +23,14 @@ DNS_RECORD = "name string, data struct<answers: array<struct<name: string, type:
 
 # Holds the text of a row that did not fit its schema; null for good rows.
 CORRUPT = "_corrupt"
+
+# What the graph needs of each snapshot table.
+GRAPH_COLUMNS = {
+    "hosts": "id int, ip string, server_name string, cert_hash string, cert_valid int",
+    "http": "id string, Location string",
+    "certs": (
+        "sha1 string, sha256 string, subject string, issuer string, notBefore timestamp, "
+        "notAfter timestamp, numAltNames int, altNames array<string>"
+    ),
+    "dns": "ip string, domain string",
+}

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import strip_dot
-from ..schemas import CORRUPT, DNS_PAIRS, DNS_RECORD
+from ..schemas import CORRUPT, DNS_PAIRS, DNS_RECORD, PARSED_CERTS
 
 _DATE = r"(\d{4}-\d{2}-\d{2})"
 
@@ -105,6 +105,18 @@ def read_delimited(
     )
 
 
+def header(spark: SparkSession, path: str) -> list[str]:
+    """Column names of one CSV file; only its first record is read."""
+    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns
+
+
+def read_parsed_certs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Certificate files that were parsed elsewhere. The names are JSON text there;
+    JSON ``null`` is a null list."""
+    rows = read_delimited(spark, paths, PARSED_CERTS).drop("type")
+    return rows.withColumn("altNames", F.from_json("altNames", "array<string>"))
+
+
 def read_dns_pairs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Pair files without a header: ``ip, domain, scan_date, source, type``."""
     rows = read_delimited(spark, paths, DNS_PAIRS, header=False, multiline=False)

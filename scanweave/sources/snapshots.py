@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -47,25 +48,34 @@ def pending(found: DataFrame, table: str, partition_by: Sequence[str] = SNAPSHOT
 
 
 def read_snapshot(
-    spark: SparkSession, table: str, schema: str | None = None, dates: Sequence[str] = ()
+    spark: SparkSession, table: str, columns: str | None = None, dates: Sequence[str] = ()
 ) -> DataFrame:
-    """Good rows of a snapshot table; ``dates`` prunes to some scan dates."""
-    rows = _stored(spark, table, schema, dates)
+    """Good rows of a snapshot table; ``dates`` prunes to some scan dates.
+
+    With ``columns`` (DDL text) the files' own schemas are not looked at: columns
+    that older scans do not have are null, and a table not written yet is empty.
+    """
+    rows = _stored(spark, table, columns, dates)
     return files.good_rows(rows) if CORRUPT in rows.columns else rows
 
 
-def read_rejects(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
-    return files.bad_rows(_stored(spark, table, schema, ()))
+def read_rejects(spark: SparkSession, table: str) -> DataFrame:
+    return files.bad_rows(_stored(spark, table, None, ()))
 
 
-def _stored(spark, table, schema, dates):
-    reader = spark.read.option("basePath", table)
-    if schema:
-        reader = reader.schema(schema)
-    rows = reader.parquet(table).withColumns(
-        {"scan_date": F.to_date("scan_date"), "source": F.col("source").cast("string")}
-    )
-    return rows.where(F.col("scan_date").isin(*(F.to_date(F.lit(d)) for d in dates))) if dates else rows
+def _stored(
+    spark: SparkSession, table: str, columns: str | None, dates: Sequence[str]
+) -> DataFrame:
+    if columns:
+        schema = f"{columns}, {CORRUPT} string, scan_date date, source string"
+        if not partition_values(spark, table, SNAPSHOT):
+            return spark.createDataFrame([], schema)
+        rows = spark.read.schema(schema).parquet(table)
+    else:
+        rows = spark.read.parquet(table)
+        rows = rows.withColumn("source", F.col("source").cast("string"))
+    rows = rows.withColumn("scan_date", F.to_date("scan_date"))
+    return rows.where(F.col("scan_date").isin(*map(date.fromisoformat, dates))) if dates else rows
 
 
 def _paths(found: DataFrame) -> list[str]:
@@ -90,12 +100,12 @@ def ingest_scans(spark: SparkSession, folders: Sequence[str], store: str) -> dic
     for kind in ("hosts", "http", "certs"):
         table = f"{store}/{kind}"
         paths = _paths(pending(scans.where(F.col("kind") == kind), table))
-        if paths:
-            schema = HOSTS if kind == "hosts" else None
-            rows = files.read_delimited(spark, paths, schema).drop("type")
+        for group in _alike(spark, paths) if kind != "hosts" else filter(None, [paths]):
+            rows = files.read_delimited(spark, group, HOSTS if kind == "hosts" else None).drop("type")
             if kind == "certs":
                 rows = _parse(rows)
-            counts[kind] = write_snapshot(rows, table)
+            written = write_snapshot(rows, table)
+            counts[kind] = {k: n + counts.get(kind, {}).get(k, 0) for k, n in written.items()}
     paths = _paths(pending(found.where(F.col("kind") == "dns"), f"{store}/dns", DNS_SNAPSHOT))
     if paths:
         counts["dns"] = write_snapshot(
@@ -104,6 +114,14 @@ def ingest_scans(spark: SparkSession, folders: Sequence[str], store: str) -> dic
     return counts
 
 
+def _alike(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files grouped by their header, since scans of different age differ in columns."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        groups.setdefault(tuple(files.header(spark, path)), []).append(path)
+    return list(groups.values())
+
+
 def _parse(rows: DataFrame) -> DataFrame:
     """Parse raw certificate rows; text without a certificate counts as corrupt.
 

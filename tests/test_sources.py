@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import functions as F
 
 from scanweave.plans.graph import run
-from scanweave.schemas import HOSTS
+from scanweave.schemas import HOSTS, PARSED_CERTS
 from scanweave.sources import files
 from scanweave.sources.snapshots import (
     ingest_dns_records,
@@ -209,3 +209,34 @@ def test_unknown_output(spark, tmp_path):
     write_graph_table(spark.range(4), str(tmp_path / "y"), partitions=2)
     write_graph_table(spark.range(9), str(tmp_path / "y"), resume=True)
     assert spark.read.parquet(str(tmp_path / "y")).count() == 4
+
+
+def test_scans_of_different_age(spark, scans, rules, tmp_path):
+    older = tmp_path / "in" / "2022-01-01-tls"
+    write_csv(older / "hosts.csv", HOST_COLUMNS, [host(1, "192.0.2.1", "www.example.com", sha256("san"), 0)])
+    write_csv(older / "http.csv", ["id", "Location"], [["1", "https://old.example.org/"]])
+    write_csv(older / "certs.csv", ["system_cert_store", "cert"], [[0, (FIXTURES / "san.pem").read_text()]])
+    store = str(tmp_path / "store")
+    # No DNS scan at all, and two layouts of the other files.
+    tables = run(spark, [scans[0], str(older)], store, str(tmp_path / "out"), rules=rules)
+    assert read_snapshot(spark, f"{store}/http", "id string, Server string").count() == 3
+    assert tables["redirects"].count() == 2 and tables["ip_addresses"].count() == 1
+    (row,) = tables["returns"].collect()
+    assert (len(row.scan_dates), row.valid) == (2, True)
+    one = run(spark, [], store, str(tmp_path / "one"), rules=rules, dates=["2022-01-01"])
+    assert one["redirects"].count() == 1 and one["returns"].first().valid is False
+
+
+def test_parsed_certificates(spark, tmp_path):
+    path = tmp_path / "2023-05-30-tls" / "parsed.csv"
+    names = [c.split()[0] for c in PARSED_CERTS.split(", ")]
+    row = [1, 0, "s1", "s256", "CN=a", "CN=b", "2024-01-01T10:30:00Z", "0001-01-01T00:00:00Z", "true", "false", "key", 1]
+    write_csv(path, names, [[*row, '["a.example.com"]'], [*row, "null"], ["x", *row[1:], "null"]])
+    got = files.good_rows(files.read_parsed_certs(spark, [str(path)]))
+    stamps = {c: F.col(c).cast("string") for c in ("notBefore", "notAfter")}
+    one, two = got.withColumns(stamps).collect()
+    assert (one.altNames, two.altNames) == (["a.example.com"], None)
+    assert (one.notBefore, one.isCa, one.basicConstraints) == ("2024-01-01 10:30:00", False, True)
+    write_csv(path, names[:-1], [row])
+    with pytest.raises(Exception, match="header"):
+        files.read_parsed_certs(spark, [str(path)]).collect()
