@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyspark
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .names import ancestors, is_valid_domain, label_count, last_labels, normalized
+from .names import ancestors, is_valid_domain, label_count, normalized
 from .text import url_host
 
 EXACT, WILDCARD, EXCEPTION = 1, 2, 4
@@ -42,8 +42,8 @@ def _spellings(rule: str):
 
 
 class SuffixRules:
-    """Rule table ``(suffix, labels, icann, every)``: bit masks of the rule kinds
-    that a suffix carries, without and with the private section of the list."""
+    """Small tables of suffixes by their number of labels, each with a bit mask of
+    the rule kinds it carries, without and with the private section of the list."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         masks: dict[str, list[int]] = {}
@@ -65,19 +65,29 @@ class SuffixRules:
                 mask = masks.setdefault(spelling, [0, 0])
                 mask[0] |= 0 if private else kind
                 mask[1] |= kind
-        self.size = len(masks)
         self.depth = max(s.count(".") + 1 for s in masks)
-        columns = {
-            "suffix": pa.array(masks, pa.string()),
-            "labels": pa.array([s.count(".") + 1 for s in masks], pa.int32()),
-            "icann": pa.array([m[0] for m in masks.values()], pa.int32()),
-            "every": pa.array([m[1] for m in masks.values()], pa.int32()),
+        self.size = len(masks)
+        self._sides = {
+            (column, n): self._side(spark, masks, i, n)
+            for i, column in enumerate(("icann", "every"))
+            for n in range(1, self.depth + 1)
         }
-        self.table = spark.createDataFrame(pa.table(columns))
 
-    def of_length(self, labels: int, column: str) -> DataFrame:
-        rules = self.table.where((F.col("labels") == labels) & (F.col(column) > 0))
-        return F.broadcast(rules) if self.size <= BROADCAST_RULES else rules
+    def _side(self, spark: SparkSession, masks: dict, section: int, labels: int) -> DataFrame:
+        rows = {s: m[section] for s, m in masks.items() if m[section] and s.count(".") + 1 == labels}
+        side = spark.createDataFrame(
+            pa.table(
+                {
+                    f"_last{labels}": pa.array(rows, pa.string()),
+                    f"_mask{labels}": pa.array(rows.values(), pa.int32()),
+                }
+            )
+        )
+        return F.broadcast(side) if self.size <= BROADCAST_RULES else side
+
+    def of_length(self, labels: int, private: bool) -> DataFrame:
+        """``(_last<n>, _mask<n>)``: suffixes of ``labels`` labels, each with its mask."""
+        return self._sides["every" if private else "icann", labels]
 
 
 def with_suffix_labels(
@@ -86,30 +96,25 @@ def with_suffix_labels(
     """Add the number of labels of the public suffix of ``name``, 0 if unknown.
 
     One left join per suffix length against the broadcast rules of that length:
-    rows stay where they are, nothing is exploded, shuffled or grouped.
+    rows stay where they are, nothing is exploded, shuffled or grouped. The last
+    ``n`` labels of a shorter name are the name itself, which no rule of ``n`` labels equals.
     """
-    masks = "every" if private else "icann"
-    df = df.withColumn("_name", F.lower(name)).withColumn("_labels", label_count(F.col("_name")))
-    total = F.col("_labels")
-    for n in range(1, rules.depth + 1):
-        key = F.when(total >= n, last_labels(F.col("_name"), F.lit(n)))
-        side = rules.of_length(n, masks).select(
-            F.col("suffix").alias(f"_suffix{n}"), F.col(masks).alias(f"_mask{n}")
-        )
-        df = df.withColumn("_key", key).join(side, F.col("_key") == F.col(f"_suffix{n}"), "left")
-        df = df.drop("_key", f"_suffix{n}")
-
-    def has(n: int, kind: int) -> Column:
-        return F.col(f"_mask{n}").bitwiseAND(F.lit(kind)) != 0
-
+    columns = df.columns
+    lengths = range(1, rules.depth + 1)
+    df = df.withColumn("_name", F.lower(name))
+    df = df.selectExpr("*", *(f"substring_index(_name, '.', -{n}) AS _last{n}" for n in lengths))
+    for n in lengths:
+        df = df.join(rules.of_length(n, private), on=f"_last{n}", how="left")
     # Longest candidate first. A wildcard covers one label more than its key.
-    found = F.when((total > rules.depth) & has(rules.depth, WILDCARD), rules.depth + 1)
-    for n in range(rules.depth, 0, -1):
-        found = found.when(has(n, EXCEPTION), n - 1).when(has(n, EXACT), n)
+    cases = []
+    for n in range(rules.depth + 1, 0, -1):
+        if n <= rules.depth:
+            cases.append(f"WHEN _mask{n} & {EXCEPTION} != 0 THEN {n - 1}")
+            cases.append(f"WHEN _mask{n} & {EXACT} != 0 THEN {n}")
         if n > 1:
-            found = found.when((total >= n) & has(n - 1, WILDCARD), n)
-    scratch = [f"_mask{n}" for n in range(1, rules.depth + 1)]
-    return df.withColumn(out, found.otherwise(0)).drop("_name", "_labels", *scratch)
+            further = f"_last{n - 1} != _name"
+            cases.append(f"WHEN _mask{n - 1} & {WILDCARD} != 0 AND {further} THEN {n}")
+    return df.select(*columns, F.expr(f"CASE {' '.join(cases)} ELSE 0 END").alias(out))
 
 
 def with_redirect_host(
