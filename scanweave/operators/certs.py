@@ -8,10 +8,26 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .x509 import fields
 
+# Name attributes with a label of their own, in the order they are printed.
+_LABELS = {
+    "2.5.4.5": "SERIALNUMBER",
+    "2.5.4.3": "CN",
+    "2.5.4.17": "POSTALCODE",
+    "2.5.4.9": "STREET",
+    "2.5.4.8": "ST",
+    "2.5.4.7": "L",
+    "2.5.4.11": "OU",
+    "2.5.4.10": "O",
+    "2.5.4.6": "C",
+}
+# Of these, only the last value of a name is printed.
+_SINGLE = ("2.5.4.3", "2.5.4.5")
+
+_NAME = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string())]))
 _ARROW = pa.struct(
     [
-        ("subject", pa.string()),
-        ("issuer", pa.string()),
+        ("subject", _NAME),
+        ("issuer", _NAME),
         ("notBefore", pa.timestamp("us", "UTC")),
         ("notAfter", pa.timestamp("us", "UTC")),
         ("basicConstraints", pa.bool_()),
@@ -50,6 +66,41 @@ def _first_block(pem: Column) -> Column:
     return F.get(F.filter(opened, lambda b: b["headers"] | b["der"].isNotNull()), F.lit(0))
 
 
+def _escaped(text: Column) -> Column:
+    return F.regexp_replace(text, r'([,+"\\<>;]|\A[ #]|(?!\A) \z)', r"\\$1")
+
+
+def _der_string(text: Column) -> Column:
+    """Hex of a text as a DER string, printable if its characters allow it."""
+    size = F.octet_length(text)
+    plain = text.rlike(r"\A[A-Za-z0-9 '()+,\-./:=?]*\z")
+    length = (
+        F.when(size < 128, F.lpad(F.hex(size), 2, "0"))
+        .when(size < 256, F.concat(F.lit("81"), F.lpad(F.hex(size), 2, "0")))
+        .when(size < 65536, F.concat(F.lit("82"), F.lpad(F.hex(size), 4, "0")))
+        .otherwise(F.concat(F.lit("83"), F.lpad(F.hex(size), 6, "0")))
+    )
+    return F.lower(F.concat(F.when(plain, "13").otherwise("0c"), length, F.hex(text)))
+
+
+def name_text(name: Column) -> Column:
+    """A name as RFC 2253 style text: labelled attributes grouped by kind, then the
+    others in reverse as identifier and DER value. A carriage return becomes ``\\r``."""
+    parts = []
+    for kind, label in _LABELS.items():
+        values = F.transform(F.filter(name, lambda a: a["kind"] == kind), lambda a: a["text"])
+        if kind in _SINGLE:
+            values = F.filter(F.slice(values, -1, 1), lambda v: v != "")
+        shown = F.transform(values, lambda v: F.concat(F.lit(f"{label}="), _escaped(v)))
+        parts.append(F.nullif(F.array_join(shown, "+"), F.lit("")))
+    others = F.transform(
+        F.filter(name, lambda a: ~a["kind"].isin(*_LABELS)),
+        lambda a: F.concat(a["kind"], F.lit("=#"), _der_string(a["text"])),
+    )
+    text = F.array_join(F.concat(F.array_compact(F.array(*parts)), F.reverse(others)), ",")
+    return F.replace(text, F.lit("\r"), F.lit("\\r"))
+
+
 def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
     """``df`` without its PEM column and with the attributes appended.
 
@@ -69,7 +120,9 @@ def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
         *passed,
         F.when(known, F.sha1("_der")).alias("sha1"),
         F.when(known, F.sha2("_der", 256)).alias("sha256"),
-        *(F.col(f"_x.{c}") for c in ("subject", "issuer", "notBefore", "notAfter")),
+        name_text(F.col("_x.subject")).alias("subject"),
+        name_text(F.col("_x.issuer")).alias("issuer"),
+        *(F.col(f"_x.{c}") for c in ("notBefore", "notAfter")),
         *(F.col(f"_x.{c}") for c in ("basicConstraints", "isCa")),
         F.sha2("_x.publicKey", 256).alias("sha256PubKey"),
         F.when(known, F.when(names.isNull(), 0).otherwise(F.size(names))).alias("numAltNames"),

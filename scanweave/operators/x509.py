@@ -19,23 +19,7 @@ SAN_EMAIL, SAN_DNS, SAN_URI, SAN_IP = 0x81, 0x82, 0x86, 0x87
 ALT_NAMES = bytes.fromhex("551d11")
 CONSTRAINTS = bytes.fromhex("551d13")
 
-# Attributes with a short name, in the order they are printed.
-NAMED = {
-    "2.5.4.5": "SERIALNUMBER",
-    "2.5.4.3": "CN",
-    "2.5.4.17": "POSTALCODE",
-    "2.5.4.9": "STREET",
-    "2.5.4.8": "ST",
-    "2.5.4.7": "L",
-    "2.5.4.11": "OU",
-    "2.5.4.10": "O",
-    "2.5.4.6": "C",
-}
-# Of these only the last value of a name is printed.
-SINGLE = ("2.5.4.3", "2.5.4.5")
-
-_PRINTABLE_READ = re.compile(r"[A-Za-z0-9 '()+,\-./:=?*&]*\Z")
-_PRINTABLE_WRITE = re.compile(r"[A-Za-z0-9 '()+,\-./:=?]*\Z")
+_PRINTABLE = re.compile(r"[A-Za-z0-9 '()+,\-./:=?*&]*\Z")
 _NUMERIC = re.compile(r"[0-9 ]*\Z")
 _TIME = re.compile(r"(\d{10})(\d\d)?(Z|[+-]\d{4})\Z", re.ASCII)
 
@@ -122,63 +106,27 @@ def _text(tag: int, content: bytes) -> str:
         text = content.decode("ascii")
     except UnicodeDecodeError as error:
         raise Malformed("string") from error
-    allowed = {PRINTABLE: _PRINTABLE_READ, NUMERIC: _NUMERIC}.get(tag)
+    allowed = {PRINTABLE: _PRINTABLE, NUMERIC: _NUMERIC}.get(tag)
     if tag != IA5 and (allowed is None or not allowed.match(text)):
         raise Malformed("string")
     return text
 
 
-def _escaped(text: str) -> str:
-    out = []
-    last = len(text.encode()) - 1
-    at = 0
-    for c in text:
-        edge = at == 0 or at == last
-        if c in ',+"\\<>;' or (c == " " and edge) or (c == "#" and at == 0):
-            out.append("\\")
-        out.append(c)
-        at += len(c.encode())
-    return "".join(out)
-
-
-def _hex_value(text: str) -> str:
-    tag = PRINTABLE if _PRINTABLE_WRITE.match(text) else UTF8
-    body = text.encode()
-    size = bytes([len(body)])
-    if len(body) >= 0x80:
-        width = (len(body).bit_length() + 7) // 8
-        size = bytes([0x80 | width]) + len(body).to_bytes(width, "big")
-    return (bytes([tag]) + size + body).hex()
-
-
 @lru_cache(maxsize=4096)
-def _name(content: bytes) -> str:
-    """RFC 2253 style text: known attributes grouped by kind, others by number.
+def _name(content: bytes) -> list[dict]:
+    """Attributes in file order as object identifier and text.
 
     Issuers repeat, so the last few thousand names are kept.
     """
-    reader = Reader(content)
-    named: dict[str, list[str]] = {}
-    other: list[str] = []
+    reader, found = Reader(content), []
     while reader.more():
         group = reader.inside(SET)
         while group.more():
             pair = group.inside(SEQUENCE)
             kind = _oid(pair.take(OID))
-            tag, content, _ = pair.raw()
-            text = _text(tag, content)
-            if kind in NAMED:
-                named.setdefault(kind, []).append(text)
-            else:
-                other.append(f"{kind}=#{_hex_value(text)}")
-    parts = []
-    for kind, label in NAMED.items():
-        values = named.get(kind, [])
-        if kind in SINGLE:
-            values = [v for v in values[-1:] if v]
-        if values:
-            parts.append("+".join(f"{label}={_escaped(v)}" for v in values))
-    return ",".join(parts + other[::-1]).replace("\r", "\\r")
+            tag, value, _ = pair.raw()
+            found.append({"kind": kind, "text": _text(tag, value)})
+    return found
 
 
 def _micros(reader: Reader) -> int:

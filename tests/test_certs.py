@@ -10,7 +10,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from scanweave.operators.certs import parse_certificates, parsed, rejected, with_certificate
+from scanweave.operators.certs import name_text, parse_certificates, parsed, rejected, with_certificate
 
 FIXTURES = Path(__file__).parent / "fixtures"
 
@@ -116,3 +116,24 @@ def test_python_sees_each_row_once(spark):
     assert plan.count("ArrowEvalPython") == 1
     # Two calls (kind and body of the blocks), not two per use of the result.
     assert plan.count("regexp_extract_all") == 2
+
+
+def test_name_text(spark):
+    cases = {
+        (("2.5.4.3", " "),): "CN=\\ ",
+        (("2.5.4.3", "  "),): "CN=\\ \\ ",
+        (("2.5.4.3", "#a;b\\c "),): "CN=\\#a\\;b\\\\c\\ ",
+        (("2.5.4.3", "first"), ("2.5.4.3", "last")): "CN=last",
+        (("2.5.4.3", ""), ("2.5.4.5", "7")): "SERIALNUMBER=7",
+        (("2.5.4.10", ""), ("2.5.4.6", "US")): "O=,C=US",
+        (("1.2.3", "a"), ("1.2.4", "*"), ("2.5.4.6", "US")): "C=US,1.2.4=#0c012a,1.2.3=#130161",
+        (("1.2.3", "x" * 130),): "1.2.3=#138182" + "78" * 130,
+        (("1.2.3", "é" * 150),): "1.2.3=#0c82012c" + "c3a9" * 150,
+        (("1.2.3", "x" * 70000),): "1.2.3=#1383011170" + "78" * 70000,
+        (("2.5.4.3", "é "),): "CN=é\\ ",
+        (): "",
+    }
+    rows = [(i, [{"kind": k, "text": t} for k, t in case]) for i, case in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, name array<struct<kind: string, text: string>>")
+    got = {r.i: r.t for r in df.select("i", name_text(F.col("name")).alias("t")).collect()}
+    assert list(cases.values()) == [got[i] for i in range(len(cases))]
