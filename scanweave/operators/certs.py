@@ -8,22 +8,9 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from .x509 import fields
 
-# Name attributes with a label of their own, in the order they are printed.
-_LABELS = {
-    "2.5.4.5": "SERIALNUMBER",
-    "2.5.4.3": "CN",
-    "2.5.4.17": "POSTALCODE",
-    "2.5.4.9": "STREET",
-    "2.5.4.8": "ST",
-    "2.5.4.7": "L",
-    "2.5.4.11": "OU",
-    "2.5.4.10": "O",
-    "2.5.4.6": "C",
-}
-# Of these, only the last value of a name is printed.
-_SINGLE = ("2.5.4.3", "2.5.4.5")
-
-_NAME = pa.list_(pa.struct([("kind", pa.string()), ("text", pa.string())]))
+_NAME = pa.list_(
+    pa.struct([("sep", pa.string()), ("label", pa.string()), ("text", pa.string())])
+)
 _ARROW = pa.struct(
     [
         ("subject", _NAME),
@@ -84,20 +71,16 @@ def _der_string(text: Column) -> Column:
 
 
 def name_text(name: Column) -> Column:
-    """A name as RFC 2253 style text: labelled attributes grouped by kind, then the
-    others in reverse as identifier and DER value. A carriage return becomes ``\\r``."""
-    parts = []
-    for kind, label in _LABELS.items():
-        values = F.transform(F.filter(name, lambda a: a["kind"] == kind), lambda a: a["text"])
-        if kind in _SINGLE:
-            values = F.filter(F.slice(values, -1, 1), lambda v: v != "")
-        shown = F.transform(values, lambda v: F.concat(F.lit(f"{label}="), _escaped(v)))
-        parts.append(F.nullif(F.array_join(shown, "+"), F.lit("")))
-    others = F.transform(
-        F.filter(name, lambda a: ~a["kind"].isin(*_LABELS)),
-        lambda a: F.concat(a["kind"], F.lit("=#"), _der_string(a["text"])),
-    )
-    text = F.array_join(F.concat(F.array_compact(F.array(*parts)), F.reverse(others)), ",")
+    """RFC 2253 style text of an arranged name. An attribute without a label of its
+    own shows its value as DER. A carriage return becomes ``\\r``."""
+
+    def shown(part: Column) -> Column:
+        value = F.when(
+            part["label"].contains("."), F.concat(F.lit("#"), _der_string(part["text"]))
+        ).otherwise(_escaped(part["text"]))
+        return F.concat(part["sep"], part["label"], F.lit("="), value)
+
+    text = F.substr(F.array_join(F.transform(name, shown), ""), F.lit(2))
     return F.replace(text, F.lit("\r"), F.lit("\\r"))
 
 

@@ -19,6 +19,21 @@ SAN_EMAIL, SAN_DNS, SAN_URI, SAN_IP = 0x81, 0x82, 0x86, 0x87
 ALT_NAMES = bytes.fromhex("551d11")
 CONSTRAINTS = bytes.fromhex("551d13")
 
+# Name attributes with a label of their own, in the order they are printed.
+LABELS = {
+    "2.5.4.5": "SERIALNUMBER",
+    "2.5.4.3": "CN",
+    "2.5.4.17": "POSTALCODE",
+    "2.5.4.9": "STREET",
+    "2.5.4.8": "ST",
+    "2.5.4.7": "L",
+    "2.5.4.11": "OU",
+    "2.5.4.10": "O",
+    "2.5.4.6": "C",
+}
+# Of these, only the last value of a name is printed.
+SINGLE = ("2.5.4.3", "2.5.4.5")
+
 _PRINTABLE = re.compile(r"[A-Za-z0-9 '()+,\-./:=?*&]*\Z")
 _NUMERIC = re.compile(r"[0-9 ]*\Z")
 _TIME = re.compile(r"(\d{10})(\d\d)?(Z|[+-]\d{4})\Z", re.ASCII)
@@ -112,21 +127,31 @@ def _text(tag: int, content: bytes) -> str:
     return text
 
 
+def arranged(pairs: list[tuple[str, str]]) -> list[dict]:
+    """Attributes in the order they are printed, each with the sign before it:
+    labelled ones grouped by kind, then the others in reverse."""
+    out = []
+    for kind, label in LABELS.items():
+        texts = [text for k, text in pairs if k == kind]
+        if kind in SINGLE:
+            texts = [text for text in texts[-1:] if text]
+        out += [{"sep": "+" if i else ",", "label": label, "text": t} for i, t in enumerate(texts)]
+    others = [{"sep": ",", "label": k, "text": t} for k, t in pairs if k not in LABELS]
+    return out + others[::-1]
+
+
 @lru_cache(maxsize=4096)
 def _name(content: bytes) -> list[dict]:
-    """Attributes in file order as object identifier and text.
-
-    Issuers repeat, so the last few thousand names are kept.
-    """
-    reader, found = Reader(content), []
+    """Issuers repeat, so the last few thousand names are kept."""
+    reader, pairs = Reader(content), []
     while reader.more():
         group = reader.inside(SET)
         while group.more():
             pair = group.inside(SEQUENCE)
             kind = _oid(pair.take(OID))
             tag, value, _ = pair.raw()
-            found.append({"kind": kind, "text": _text(tag, value)})
-    return found
+            pairs.append((kind, _text(tag, value)))
+    return arranged(pairs)
 
 
 def _micros(reader: Reader) -> int:

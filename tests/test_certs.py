@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanweave.operators.certs import name_text, parse_certificates, parsed, rejected, with_certificate
+from scanweave.operators.x509 import arranged
 
 FIXTURES = Path(__file__).parent / "fixtures"
 
@@ -133,7 +134,7 @@ def test_name_text(spark):
         (("2.5.4.3", "é "),): "CN=é\\ ",
         (): "",
     }
-    rows = [(i, [{"kind": k, "text": t} for k, t in case]) for i, case in enumerate(cases)]
-    df = spark.createDataFrame(rows, "i int, name array<struct<kind: string, text: string>>")
+    rows = [(i, arranged(list(case))) for i, case in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i int, name array<struct<sep: string, label: string, text: string>>")
     got = {r.i: r.t for r in df.select("i", name_text(F.col("name")).alias("t")).collect()}
     assert list(cases.values()) == [got[i] for i in range(len(cases))]
