@@ -111,8 +111,11 @@ def cert_table(spark, folder):
     parsed = parse_certificates(rows.select("id", pem.alias("cert"), "system_cert_store"))
     return parsed.withColumns(
         {
-            "notBefore": F.date_format("notBefore", "yyyy-MM-dd HH:mm:ss"),
-            "notAfter": F.date_format("notAfter", "yyyy-MM-dd HH:mm:ss"),
+            c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+            for c in ("notBefore", "notAfter")
+        }
+    ).withColumns(
+        {
             "altNames": F.concat_ws(";", "altNames"),
         }
     )

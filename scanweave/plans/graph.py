@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.suffix import SuffixRules, with_redirect_host
 from ..functions.text import quote_url
-from ..operators.degrees import attach_degrees, degrees, number_vertices
+from ..operators.degrees import attach_degrees, degrees
 from ..operators.edges import fold_edges, resolve_endpoints, reverse_valid, semi_edges
 from ..operators.ids import assign_ids
 from ..operators.nodes import (

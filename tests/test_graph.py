@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from scanweave.plans.graph import EDGES, VERTICES, build_graph, run
+from scanweave.plans.graph import EDGES, VERTICES, build_graph
 from scanweave.sinks.graph import export_csv, graph_header
 
 D1, D2 = "2023-05-30", "2023-06-06"
