@@ -143,7 +143,8 @@ def word_span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
 
 
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
-    """Position of the least value (the last of equal ones) in every window of ``width``.
+    """Position of the least value in every window of ``width``, compared by the upper 33
+    bits; of equal ones the last. The choice depends on the window's values only.
 
     Blocks of ``width`` values get running minima from both ends; a window is the
     tail of one block and the head of the next, so the cost does not depend on ``width``.
@@ -152,13 +153,13 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     if n < width:
         return np.zeros(0, np.int64)
     blocks = -(-n // width)
-    # The low bits hold the position, so that minima carry their place along.
-    bits = np.uint64(max(1, int(n).bit_length()))
-    keys = (values >> bits << bits) | (np.uint64(n - 1) - np.arange(n, dtype=np.uint64))
+    # The low 31 bits hold the position, so that minima carry their place along.
+    low = np.uint64(2**31 - 1)
+    keys = (values & ~low) | (low - np.arange(n, dtype=np.uint64))
     padded = np.full(blocks * width, np.uint64(2**64 - 1))
     padded[:n] = keys
     grid = padded.reshape(blocks, width)
     head = np.minimum.accumulate(grid, axis=1).ravel()
     tail = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     best = np.minimum(tail[: n - width + 1], head[width - 1 : n])
-    return n - 1 - (best & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    return (low - (best & low)).astype(np.int64)
