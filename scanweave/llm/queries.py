@@ -10,12 +10,30 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(_table(spark, folder, "documents"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_substring(spark: SparkSession, folder: str) -> DataFrame:
+    from .substring import remove_repeats
+
+    return remove_repeats(_table(spark, folder, "documents")).drop("kept")
+
+
+def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    from .suffix import remove_earlier
+
+    return remove_earlier(_table(spark, folder, "documents")).drop("kept")
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     from .langid import identify, train
 
@@ -29,5 +47,5 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op9_language, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_ngram_jaccard, op4_packing, op5_substring, op6_suffix, op9_language, op10_token_counts)}
 ORACLES: dict[str, str] = {}
