@@ -18,9 +18,10 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
-def texts(docs: DataFrame) -> DataFrame:
-    """``doc_id`` (as long), ``text`` and the row's key; all other columns go."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", row_key())
+def texts(docs: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id`` (as long), ``text``, the row's key and the columns ``keep``; all others go."""
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    return docs.select(*own, *keep, row_key().alias("row"))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -15,7 +15,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .exchange import columns
 from .textbytes import pieces, text_buffer
@@ -135,7 +135,10 @@ def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarr
 
 def _predict(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     model = model.value
-    for doc, held, letters, text in columns(batches, "doc_id", "held_out", "letters", "text"):
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        letters, text = batch.column("_letters"), batch.column("_text")
         raw, offsets = text_buffer(text)
         bits = code_lengths(model, raw, offsets)
         known = letters.fill_null(False).to_numpy(zero_copy_only=False) & bool(model.languages)
@@ -146,10 +149,19 @@ def _predict(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatc
             names[known] = np.array(model.languages, object)[best[known]]
             score[known] = share[known]
         per_byte = bits.min(axis=1) / np.maximum(np.diff(offsets), 1) if model.languages else score
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": doc, "held_out": held, "lang_pred": pa.array(names, pa.string()),
-            "score": score, "bits_per_byte": np.where(known, per_byte, 0.0),
-        })
+        kept = [n for n in batch.schema.names if n not in ("_letters", "_text")]
+        made = [pa.array(names, pa.string()), pa.array(score), pa.array(np.where(known, per_byte, 0.0))]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *made], [*kept, "lang_pred", "score", "bits_per_byte"])
+
+
+def with_language(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``docs`` and ``lang_pred, score, bits_per_byte``; see ``identify``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = F.col("text").cast("string")
+    rows = docs.drop("lang_pred", "score", "bits_per_byte")
+    schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string("lang_pred string, score double, bits_per_byte double").fields])
+    rows = rows.withColumns({"_letters": F.coalesce(text.rlike(r"\p{L}"), F.lit(False)), "_text": text})
+    return rows.mapInArrow(partial(_predict, model=shared), schema)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -161,12 +173,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     nothing could be learned. A null ``doc_id`` counts as held out. Repeated rows are
     scored each for itself; an empty table gives no rows; other columns are not looked at.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     held = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(True))
-    text = F.col("text").cast("string")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"),
-        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"), text.alias("text"),
-    )
-    schema = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
-    return rows.mapInArrow(partial(_predict, model=shared), schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text")
+    return with_language(rows, model).drop("text")

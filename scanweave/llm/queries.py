@@ -10,6 +10,18 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_multiprobe(spark: SparkSession, folder: str) -> DataFrame:
+    from .ann import nearest
+
+    return nearest(_table(spark, folder, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    from .quality import judged
+
+    return judged(_table(spark, folder, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     from .jaccard import near_duplicates
 
@@ -34,6 +46,23 @@ def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
     return remove_earlier(_table(spark, folder, "documents")).drop("kept")
 
 
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Target: the documents labelled as good."""
+    from .lm import cross_entropy_difference, train
+
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return cross_entropy_difference(docs, train(docs, labels.where("quality = 1")))
+
+
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Web counts twice among the domains; scarce leaves are read up to three times."""
+    from .mixing import Target, mix_sources
+
+    target = Target(weights={"domain": {"web": 2.0}}, share=1.0, epochs=3)
+    taken = mix_sources(_table(spark, folder, "documents").select("doc_id", "text", "lang", "source"), target)
+    return taken.selectExpr("doc_id", "_leaf.domain", "_leaf.lang", "_leaf.source", "_tokens AS n_tokens", "epoch")
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     from .langid import identify, train
 
@@ -47,5 +76,32 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_ngram_jaccard, op4_packing, op5_substring, op6_suffix, op9_language, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_multiprobe, op2_quality, op3_ngram_jaccard, op4_packing, op5_substring, op6_suffix,
+        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts,
+    )
+}
+
+ORACLES: dict[str, str] = {
+    "op2_quality": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT rid, i, array_to_string(list_slice(ws, i, i + 4), ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM w WHERE len(ws) >= 5)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM g) WHERE c > 1),
+n AS (SELECT rid, sum(least(5, i - coalesce(p, i - 5))) AS n
+  FROM (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS p FROM r) GROUP BY rid),
+m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+  coalesce(n.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines,
+  len(list_filter(ws, lambda x: regexp_matches(x, '\p{L}')))::BIGINT AS n_letter_words
+  FROM w LEFT JOIN n USING (rid)),
+b AS (SELECT *, ((n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
+  + 4 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT + 8 * (10 * n_symbols > n_words)::BIGINT
+  + 16 * (100 * n_dup_lines > 40 * n_lines)::BIGINT + 32 * (100 * n_letter_words < 60 * n_words)::BIGINT)::BIGINT AS fail_bits FROM m)
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
+""",
+}

@@ -10,13 +10,13 @@ once, and only ranks with several contents go on, each cut into finer ranges of
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .anchors import Scheme, covered, list_columns, repeated, with_lists
 from .exchange import buckets, columns, longs, stored, texts
@@ -119,8 +119,8 @@ def _rerank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = (key[h], content[h], (doc[h], row[h], start[h]))
 
 
-def _remove(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for doc, text, ranges in columns(batches, "doc_id", "text", "ranges"):
+def _remove(batches: Iterable[pa.RecordBatch], length: int, keep: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    for doc, text, ranges, *more in columns(batches, "doc_id", "text", "ranges", *keep):
         raw, offsets = text_buffer(text)
         rows = []
         for i, (start, n) in enumerate(list_columns(ranges, "start", "n")):
@@ -132,7 +132,7 @@ def _remove(batches: Iterable[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             rows.append((len(own), int(gone.sum()), spans, hashlib.sha256(left).hexdigest(), kept))
         cols = list(zip(*rows)) if rows else [[]] * 5
         kinds = [pa.int64()] * 3 + [pa.string()] * 2
-        yield pa.RecordBatch.from_arrays([doc, *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+        yield pa.RecordBatch.from_arrays([doc, *more, *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", *keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
 def earlier_strings(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -156,7 +156,7 @@ def earlier_strings(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     return out
 
 
-def remove_earlier(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
+def remove_earlier(docs: DataFrame, *, length: int = LENGTH, keep: Sequence[str] = ()) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept``: one row per row of ``docs``.
 
     A byte of a text's UTF-8 form goes when a string of ``length`` bytes that covers it
@@ -166,12 +166,11 @@ def remove_earlier(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     A null text is empty (``kept`` null). Rows without an id come before all others; rows
     that share an id are in the order of a hash of the row; repeated rows are the same
     place, so neither is earlier. An empty table gives no rows; columns besides
-    ``doc_id`` and ``text`` are not looked at.
+    ``doc_id`` and ``text`` are not looked at, those named in ``keep`` are passed on.
     """
-    rows = texts(docs)
+    rows = texts(docs, *keep)
     ranges = stored(earlier_strings(rows, length), "ranges")
     listed = with_lists(rows, ranges, "ranges", "left", "start", "n")
-    return listed.select("doc_id", "text", "ranges").mapInArrow(
-        partial(_remove, length=length),
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string",
-    )
+    added = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string"
+    schema = T.StructType([*listed.select("doc_id", *keep).schema.fields, *T._parse_datatype_string(added).fields])
+    return listed.select("doc_id", *keep, "text", "ranges").mapInArrow(partial(_remove, length=length, keep=tuple(keep)), schema)
