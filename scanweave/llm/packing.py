@@ -29,30 +29,91 @@ WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+
 #: What is left to the tokenizer as a whole: see UNSETTLED; sigma, whose lower case
 #: depends on its place; strings that may be special tokens.
 _WHOLE = regex.compile(rf"[{UNSETTLED}Σ\x1c-\x1f]|<\|")
+#: Fixed value: what the last token of a word ends with.
+WORD_END = "</w>"
 END_ID = 1
+#: Texts that are encoded together.
+TEXTS = 500
 ROWS_PER_RANKING = 200_000
 PIECE = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-class Ids(dict):
-    """Word to its ids as little-endian 32-bit text."""
+class Ids:
+    """Texts to their ids as little-endian 32-bit text.
+
+    White space never reaches the ids, so a run of other characters has the same ids
+    wherever it stands: ``runs`` caches them. What a run is cut into is looked up in
+    ``words``, and the words missing there are encoded by the tokenizer, many at a time.
+    """
 
     def __init__(self, path: str):
-        super().__init__()
         self.model = tokenizer(path)
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self[word] = np.array(self.model.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
-
-    def of(self, text: str) -> bytes:
-        if _WHOLE.search(text):
-            return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
+        vocabulary = self.model.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        self.runs: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, words: list[str]) -> None:
+        if len(self.words) + len(words) > CACHE:
+            self.words.clear()
+        for k in range(0, len(words), 4096):
+            some = words[k : k + 4096]
+            ids = np.array(self.model.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            data, cuts = ids.tobytes(), np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(some):
+                raise ValueError("the tokenizer cuts words in an unknown way")
+            cuts = (4 * cuts).tolist()
+            self.words.update(zip(some, (data[a:b] for a, b in zip([0, *cuts], cuts))))
+
+    def _learn(self, runs: set[str]) -> None:
+        missing = list(runs - self.runs.keys())
+        if len(self.runs) + len(missing) > 2 * CACHE:
+            self.runs.clear()
+            missing = list(runs)
+        cut = list(map(_words, missing))
+        words = {w for c in cut for w in c}
+        lacking = list(words - self.words.keys())
+        if len(self.words) + len(lacking) > CACHE:
+            lacking = list(words)
+        self._encode(lacking)
+        get = self.words.__getitem__
+        self.runs.update(zip(missing, (b"".join(map(get, c)) for c in cut)))
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        out, split = [b""] * len(texts), {}
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if not plain(text):
+                if _WHOLE.search(text):
+                    out[i] = np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+                    continue
+                text = unicodedata.normalize("NFC", text)
+            split[i] = text.lower().split()
+        self._learn({w for words in split.values() for w in words})
+        get = self.runs.__getitem__
+        for i, words in split.items():
+            out[i] = b"".join(map(get, words))
+        return out
+
+
+def _words(run: str) -> list[str]:
+    """A run cut into words; letters with at most one mark at the end need no pattern."""
+    if run.isalpha():
+        return [run]
+    head, last = run[:-1], run[-1]
+    return [head, last] if last in ".,;:!?" and head.isalpha() else WORD.findall(run)
+
+
+def plain(text: str) -> bool:
+    """Latin-1 without what may be a special token or a separator: the common case, told
+    without looking at single characters. Such a text is in normal form."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return not any(x in text for x in ("<|", "\x1c", "\x1d", "\x1e", "\x1f"))
 
 
 @lru_cache(maxsize=2)
@@ -64,8 +125,9 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str, size: int) -> Iterator[pa
     ids, end, step = _ids(path), np.array([END_ID], "<u4").tobytes(), 4 * size
     for doc, row, text in columns(batches, "doc_id", "row", "text"):
         at, start, length, crc, total = [], [], [], [], []
-        for i, x in enumerate(text.to_pylist()):
-            data = (ids.of(x) if x else b"") + end
+        tokens = (d for k in range(0, len(text), TEXTS) for d in ids.of(text[k : k + TEXTS].to_pylist()))
+        for i, data in enumerate(tokens):
+            data += end
             for a in range(0, len(data), step):
                 piece = data[a : a + step]
                 at.append(i)
