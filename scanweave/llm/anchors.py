@@ -36,6 +36,8 @@ from .textbytes import (
 #: With more contents than this for one anchor in a batch, they are open without meeting
 #: the other batches: no task gathers the contents of a very common anchor.
 CONTENTS = 64
+#: Segments that a task holds before it sends them on.
+PORTION = 1 << 18
 _FIRST = -(2**63)
 
 
@@ -172,9 +174,21 @@ def _merged(own: Segments) -> Segments:
     return own.take(at)._replace(n=n)
 
 
-def _scan(batches: Iterable[pa.RecordBatch], scheme: Scheme, parts: int) -> Iterator[pa.RecordBatch]:
+def _portions(batches: Iterable[pa.RecordBatch], scheme: Scheme) -> Iterator[Segments]:
     for doc, row, text in columns(batches, "doc_id", "row", "text"):
-        own = join(list(segments(text, longs(doc, _FIRST), longs(row), scheme)))
+        waiting, held = [], 0
+        for own in segments(text, longs(doc, _FIRST), longs(row), scheme):
+            waiting.append(own)
+            held += len(own.key)
+            if held >= PORTION:
+                yield join(waiting)
+                waiting, held = [], 0
+        if waiting:
+            yield join(waiting)
+
+
+def _scan(batches: Iterable[pa.RecordBatch], scheme: Scheme, parts: int) -> Iterator[pa.RecordBatch]:
+    for own in _portions(batches, scheme):
         first, settled = collapse(own, scheme.everywhere)
         common = per_key(first) > CONTENTS
         if common.any():  # one segment of the key goes on, to mark the key

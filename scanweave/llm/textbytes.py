@@ -22,7 +22,7 @@ _BYTE_CODE = _STATE.randint(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * n
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
