@@ -24,16 +24,17 @@ def texts(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*own, *keep, row_key().alias("row"))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, *, release: bool = True) -> DataFrame:
     """Write an intermediate table into the shared folder and read it back.
 
     This cuts the lineage: after a lost executor only the step at hand is repeated.
-    The shuffle files of finished steps are released at once.
+    With ``release`` the shuffle files of finished steps go at once.
     """
     spark = df.sparkSession
     out = materialize(df, scratch_dir(spark, label))
-    gc.collect()
-    spark._jvm.System.gc()
+    if release:
+        gc.collect()
+        spark._jvm.System.gc()
     return out
 
 
