@@ -31,20 +31,21 @@ def heavy_keys(
     columns: Sequence[str],
     *,
     rows_per_task: int = ROWS_PER_TASK,
-    support: float = 1e-3,
     total: int | None = None,
 ) -> HeavyKeys:
-    """Find every key with more than ``rows_per_task`` rows and a share above ``support``.
+    """Find every key with more than ``rows_per_task`` rows.
 
     ``df`` should be a stored table: it is counted (file footers), scanned once for
-    the frequent items, and once more to count just those. ``freqItems`` names
-    every key above the support and at most ``1 / support`` keys, so what reaches
-    the driver is bounded whatever the table holds. A miss or a hash collision
+    the frequent items, and once more to count just those. ``freqItems`` names every key
+    above the support, here the share that ``rows_per_task`` has of all rows, and at most
+    ``total / rows_per_task`` keys: as many as the table fills tasks. A miss or a hash collision
     costs balance, never rows.
     """
     columns = tuple(columns)
-    if (df.count() if total is None else total) <= rows_per_task:
+    total = df.count() if total is None else total
+    if total <= rows_per_task:
         return HeavyKeys(columns)
+    support = max(rows_per_task / total, 1e-6)
     hashed = df.dropna(subset=list(columns)).select(F.xxhash64(*columns).alias("key"))
     candidates = hashed.stat.freqItems(["key"], support).first()[0]
     if not candidates:

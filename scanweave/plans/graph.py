@@ -54,7 +54,8 @@ def redirect_observations(
     number occurs once per scan, so the join key spreads evenly. With
     ``match_source=False`` all scans of one date match each other.
     """
-    keys = ["scan_date", "source", "id"] if match_source else ["scan_date", "id"]
+    origin = [c for c in ("source", "scan") if c in http.columns and c in hosts.columns]
+    keys = ["scan_date", *(origin if match_source else ()), "id"]
     left = http.where(F.col("redirect_host").isNotNull()).select(*keys, "Location", "redirect_host")
     right = hosts.where(F.col("server_name").isNotNull()).select(*keys, "server_name", "cert_valid")
     left = left.withColumn("id", F.expr("try_cast(id AS int)"))

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..workspace import is_complete
 
+# Spark's writer would strip blanks at both ends of a text.
+_CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 # Column names of the import format.
 _HEADER = {
     "id": ":ID",
@@ -44,7 +47,7 @@ def export_csv(df: DataFrame, path: str, *, compression: str = "none") -> None:
     An import names the header file and all row files; nothing is gathered into
     one file or on one machine.
     """
-    options = {"quote": '"', "escape": '"', "compression": compression}
+    options = {**_CSV, "compression": compression}
     names = graph_header(df.columns)
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     header = df.sparkSession.createDataFrame([tuple(names)], schema).coalesce(1)
@@ -78,4 +81,4 @@ def write_dns_pairs(pairs: DataFrame, path: str, *, compression: str = "none") -
     """Resolved pairs as headerless ``ip,domain`` files per scan date and record type."""
     rows = pairs.select("ip", "domain", "scan_date", "type")
     writer = rows.write.mode("overwrite").partitionBy("scan_date", "type")
-    writer.csv(path, quote='"', escape='"', compression=compression)
+    writer.csv(path, **_CSV, compression=compression)

@@ -32,23 +32,36 @@ def source_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]*\z", 1)
 
 
+def folder_key(path: Column) -> Column:
+    """Tells folders of one name apart: a hash of the whole path of a file's folder."""
+    return F.lower(F.hex(F.xxhash64(_folder(path))))
+
+
+def file_key(path: Column) -> Column:
+    return F.lower(F.hex(F.xxhash64(path)))
+
+
+def _origin(path: Column) -> list[Column]:
+    return [
+        scan_date(path).alias("scan_date"), source_name(path).alias("source"),
+        folder_key(path).alias("scan"), file_key(path).alias("file"),
+    ]
+
+
 def record_type(path: Column) -> Column:
     name = F.regexp_extract(path, r"[^/]*\z", 0)
     return F.when(name.contains("AAAA"), "AAAA").otherwise("A")
 
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, scan_date, source)`` of the files in the folders, files and globs of
+    """``(path, scan_date, source, scan, file)`` of the files in the folders, files and globs of
     ``paths``. They are only listed, nothing is opened."""
     listed = spark.read.format("binaryFile").load(list(paths)).select("path")
-    path = F.col("path")
-    return listed.select(
-        "path", scan_date(path).alias("scan_date"), source_name(path).alias("source")
-    )
+    return listed.select("path", *_origin(F.col("path")))
 
 
 def discover(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """``(path, kind, scan_date, source, type)`` of the scan files in ``folders``.
+    """``(path, kind, scan_date, source, scan, file, type)`` of the scan files in ``folders``.
 
     Files in a folder without a date have a null ``scan_date``; files of no known
     kind are left out. ``type`` is set for DNS pair files.
@@ -61,6 +74,8 @@ def discover(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
         kind.alias("kind"),
         "scan_date",
         "source",
+        "scan",
+        "file",
         F.when(kind == "dns", record_type(F.col("path"))).alias("type"),
     ).where(F.col("kind").isNotNull())
 
@@ -74,7 +89,7 @@ def read_delimited(
     multiline: bool = True,
 ) -> DataFrame:
     """CSV files with doubled quotes, as ``_corrupt``, the columns, ``scan_date``,
-    ``source`` and ``type`` from each file's path.
+    ``source``, ``scan``, ``file`` and ``type`` from each file's path.
 
     The header must equal the schema. Without a schema all columns are text and
     named by the header. A row that does not fit has its text in ``_corrupt``,
@@ -99,8 +114,7 @@ def read_delimited(
     return rows.csv(list(paths)).where(every).select(
         CORRUPT,
         *(c.name for c in columns.fields),
-        scan_date(path).alias("scan_date"),
-        source_name(path).alias("source"),
+        *_origin(path),
         record_type(path).alias("type"),
     )
 
@@ -118,13 +132,12 @@ def read_parsed_certs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_dns_pairs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Pair files without a header: ``ip, domain, scan_date, source, type``."""
-    rows = read_delimited(spark, paths, DNS_PAIRS, header=False, multiline=False)
-    return rows.drop(CORRUPT)
+    """Pair files without a header: ``_corrupt, ip, domain``, where they are from and ``type``."""
+    return read_delimited(spark, paths, DNS_PAIRS, header=False, multiline=False)
 
 
 def read_dns_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """JSON lines of DNS records: ``_corrupt, name, answers, scan_date, source``."""
+    """JSON lines of DNS records: ``_corrupt, name, answers`` and where they are from."""
     rows = spark.read.schema(f"{DNS_RECORD}, {CORRUPT} string").json(
         list(paths), mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
     )
@@ -133,8 +146,7 @@ def read_dns_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         CORRUPT,
         "name",
         F.col("data.answers").alias("answers"),
-        scan_date(path).alias("scan_date"),
-        source_name(path).alias("source"),
+        *_origin(path),
     )
 
 
@@ -158,7 +170,8 @@ def unusable_records(records: DataFrame) -> DataFrame:
     reason = F.when(F.col(CORRUPT).isNotNull(), "malformed line").otherwise("no name")
     payload = F.coalesce(F.col(CORRUPT), F.to_json(F.struct("answers")))
     bad = records.where(F.col(CORRUPT).isNotNull() | F.col("name").isNull())
-    return bad.select("scan_date", "source", reason.alias("reason"), payload.alias("payload"))
+    origin = [c for c in ("scan_date", "source", "scan", "file") if c in records.columns]
+    return bad.select(*origin, reason.alias("reason"), payload.alias("payload"))
 
 
 def clean_names(rows: DataFrame, column: str) -> DataFrame:

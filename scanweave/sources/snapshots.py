@@ -1,4 +1,9 @@
-"""Dated snapshot tables: each scan is ingested once into its own partition."""
+"""Dated snapshot tables: each file is ingested once into its own partition.
+
+A partition is named by date, folder name, a hash of the folder's path and a hash of the
+file's path. So a file that comes late to a known folder is new, and neither folders
+of one name nor files of one folder replace each other.
+"""
 
 from __future__ import annotations
 
@@ -14,8 +19,9 @@ from ..schemas import CORRUPT, HOSTS
 from ..workspace import partition_values
 from . import files
 
-SNAPSHOT = ("scan_date", "source")
-DNS_SNAPSHOT = ("scan_date", "source", "type")
+SCAN = ("scan_date", "source", "scan")
+SNAPSHOT = (*SCAN, "file")
+DNS_SNAPSHOT = (*SNAPSHOT, "type")
 
 
 def write_snapshot(rows: DataFrame, table: str, partition_by: Sequence[str] = SNAPSHOT) -> dict:
@@ -67,13 +73,16 @@ def _stored(
     spark: SparkSession, table: str, columns: str | None, dates: Sequence[str]
 ) -> DataFrame:
     if columns:
-        schema = f"{columns}, {CORRUPT} string, scan_date date, source string"
+        schema = f"{columns}, {CORRUPT} string, scan_date date, source string, scan string, file string"
         if not partition_values(spark, table, SNAPSHOT):
             return spark.createDataFrame([], schema)
         rows = spark.read.schema(schema).parquet(table)
     else:
-        rows = spark.read.parquet(table)
-        rows = rows.withColumn("source", F.col("source").cast("string"))
+        # Names of folders are text, also those that look like numbers.
+        names = {"scan_date": "date", "type": "string", **dict.fromkeys(SNAPSHOT[1:], "string")}
+        found = spark.read.parquet(table).schema
+        schema = ", ".join(f"`{c.name}` {names.get(c.name, c.dataType.simpleString())}" for c in found)
+        rows = spark.read.schema(schema).parquet(table)
     rows = rows.withColumn("scan_date", F.to_date("scan_date"))
     return rows.where(F.col("scan_date").isin(*map(date.fromisoformat, dates))) if dates else rows
 
@@ -89,12 +98,12 @@ def ingest_scans(spark: SparkSession, folders: Sequence[str], store: str) -> dic
     a date are skipped. A TLS scan without certificates is an error.
     """
     found = files.discover(spark, folders).where(F.col("scan_date").isNotNull())
-    kinds = found.groupBy(*SNAPSHOT).agg(F.collect_set("kind").alias("kinds"))
+    kinds = found.groupBy(*SCAN).agg(F.collect_set("kind").alias("kinds"))
     tls = F.array_contains("kinds", "hosts")
     lacking = kinds.where(tls & ~F.array_contains("kinds", "certs")).collect()
     if lacking:
         raise FileNotFoundError(f"no certificates in {sorted(r.source for r in lacking)}")
-    scans = found.join(kinds.where(tls).select(*SNAPSHOT), on=list(SNAPSHOT), how="left_semi")
+    scans = found.join(kinds.where(tls).select(*SCAN), on=list(SCAN), how="left_semi")
 
     counts: dict[str, dict] = {}
     for kind in ("hosts", "http", "certs"):
@@ -140,32 +149,33 @@ def _parse(rows: DataFrame) -> DataFrame:
 def ingest_dns_records(spark: SparkSession, paths: Sequence[str], store: str) -> dict[str, dict]:
     """Resolve new JSON line files into the ``dns`` and ``dns_errors`` tables of ``store``.
 
-    The lines are parsed once, into a table of records; pairs and errors are
-    two narrow passes over its new partitions.
+    The lines are parsed once, into a table of records; pairs and errors are two narrow
+    passes over its new partitions. What is done is noted last, file by file in
+    ``dns_done``: a run that dies before is repeated, and writes the same partitions.
     """
-    table = f"{store}/dns_records"
-    new = pending(files.list_files(spark, paths), table)
+    new = pending(files.list_files(spark, paths), f"{store}/dns_done")
     paths = _paths(new)
     if not paths:
         return {}
+    table = f"{store}/dns_records"
     counts = write_snapshot(files.read_dns_records(spark, paths), table)
-    fresh = new.select(F.to_date("scan_date").alias("scan_date"), "source").distinct()
-    same = F.col("old.scan_date").eqNullSafe(F.col("new.scan_date")) & (
-        F.col("old.source") == F.col("new.source")
-    )
-    # One row per new file's folder: the size of the listing, not of the data.
-    stored = _stored(spark, table, None, ()).alias("old")
-    stored = stored.join(F.broadcast(fresh.alias("new")), same, "left_semi")
-    keep = ["scan_date", "source"]
+    fresh = new.select("file").distinct()
+    stored = _stored(spark, table, None, ()).join(fresh, "file", "left_semi")
+    keep = list(SNAPSHOT)
     pairs = resolve_cnames(files.usable_records(stored), keep=keep, bag=False)
+    # The table has one layout, whether its rows come from pair files or from records.
+    pairs = pairs.withColumn(CORRUPT, F.lit(None).cast("string"))
     errors = [
         files.unusable_records(stored),
         answer_errors(files.usable_records(stored), keep=keep),
     ]
-    return {
+    counts = {
         "dns_records": counts,
         "dns": write_snapshot(pairs, f"{store}/dns", DNS_SNAPSHOT),
         "dns_errors": write_snapshot(
             reduce(DataFrame.unionByName, errors), f"{store}/dns_errors"
         ),
     }
+    done = new.select("path", F.to_date("scan_date").alias("scan_date"), *SNAPSHOT[1:])
+    write_snapshot(done, f"{store}/dns_done")
+    return counts

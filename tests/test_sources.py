@@ -240,3 +240,67 @@ def test_parsed_certificates(spark, tmp_path):
     write_csv(path, names[:-1], [row])
     with pytest.raises(Exception, match="header"):
         files.read_parsed_certs(spark, [str(path)]).collect()
+
+
+def test_a_late_file_and_equal_folder_names_lose_nothing(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first, second = (tmp_path / x / "2024-01-01-dns" for x in "ab")
+    write_csv(first / "resolved-A.ipdomain", None, [["192.0.2.1", "one.example.com"]])
+    assert ingest_scans(spark, [str(first)], store)["dns"]["rows"] == 1
+    write_csv(first / "late-A.ipdomain", None, [["192.0.2.2", "two.example.com"]])
+    write_csv(second / "resolved-A.ipdomain", None, [["192.0.2.3", "three.example.com"]])
+    both = [str(first), str(second)]
+    assert ingest_scans(spark, both, store)["dns"]["rows"] == 2
+    assert ingest_scans(spark, both, store) == {}
+    rows = read_snapshot(spark, f"{store}/dns").collect()
+    assert {r.ip for r in rows} == {"192.0.2.1", "192.0.2.2", "192.0.2.3"} and len({r.scan for r in rows}) == 2
+
+
+def test_header_layouts_in_one_folder_and_a_folder_that_looks_like_a_number(spark, tmp_path):
+    store = str(tmp_path / "store")
+    folder = tmp_path / "2024-01-01" / "007"
+    write_csv(folder / "hosts.csv", HOST_COLUMNS, [host(1, "192.0.2.1", "a.example.com", "c", 1)])
+    write_csv(folder / "certs.csv", ["id", "cert", "system_cert_store"], [[1, "no cert", 0]])
+    write_csv(folder / "http.csv", ["id", "Location"], [["1", "/x"]])
+    folder.joinpath("http.csv.gz").write_bytes(gzip.compress(b"id,Server,Location\n2,s,/y\n"))
+    assert ingest_scans(spark, [str(folder)], store)["http"]["rows"] == 2
+    rows = read_snapshot(spark, f"{store}/http", "id string, Location string").collect()
+    assert {(r.id, r.Location, r.source) for r in rows} == {("1", "/x", "007"), ("2", "/y", "007")}
+    assert {r.source for r in read_snapshot(spark, f"{store}/hosts").collect()} == {"007"}
+    assert ingest_scans(spark, [str(folder)], store) == {}
+
+
+def test_dns_origins_stand_beside_each_other_and_a_broken_run_is_repeated(spark, tmp_path, monkeypatch):
+    from scanweave.sources import snapshots
+
+    store, folder = str(tmp_path / "store"), tmp_path / "2024-01-01" / "007"
+    write_csv(folder / "resolved-A.ipdomain", None, [["192.0.2.1", "a.example.com"], ["only one field"]])
+    assert ingest_scans(spark, [str(folder)], store)["dns"] == {"rows": 2, "rejected": 1}
+    answers = [{"name": "b.", "type": "A", "data": "192.0.2.2"}]
+    folder.joinpath("out.json").write_text(json.dumps({"name": "b.", "data": {"answers": answers}}))
+    write = snapshots.write_snapshot
+
+    def dies(rows, table, *by):
+        if table.endswith("/dns"):
+            raise RuntimeError("gone")
+        return write(rows, table, *by)
+
+    records = [str(folder / "out.json")]
+    monkeypatch.setattr(snapshots, "write_snapshot", dies)
+    with pytest.raises(RuntimeError, match="gone"):
+        ingest_dns_records(spark, records, store)
+    monkeypatch.undo()
+    assert ingest_dns_records(spark, records, store)["dns"]["rows"] == 1
+    assert ingest_dns_records(spark, records, store) == {}
+    assert {r.ip for r in read_snapshot(spark, f"{store}/dns").collect()} == {"192.0.2.1", "192.0.2.2"}
+    assert read_rejects(spark, f"{store}/dns").count() == 1
+
+
+def test_exports_keep_blanks(spark, tmp_path):
+    from scanweave.sinks.graph import export_csv
+
+    texts = ["  lead and trail  ", "", " ", 'a "b", c']
+    export_csv(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, name string"), str(tmp_path))
+    options = {"quote": '"', "escape": '"', "emptyValue": ""}
+    back = spark.read.schema("id long, name string").csv(f"{tmp_path}/rows", **options)
+    assert {r.id: r.name or "" for r in back.collect()} == dict(enumerate(texts))
