@@ -1,12 +1,14 @@
 """Cross-entropy difference of documents under two n-gram models.
 
-A target and a background model of word bigrams share one hashed vocabulary, smoothing
-and mass: the background's counts are scaled to the target's number of words, so that
-losses differ by what the texts are like and not by how much was seen. A document's score
-is its mean loss per word under the target less that under the background.
+A target and a background model of word bigrams share one vocabulary, smoothing and mass:
+the larger model's counts are scaled to the smaller's number of words, so that losses differ
+by what the texts are like and not by how much was seen. A document's score is its mean loss
+per word under the target less that under the background.
 
-Counts come from all documents. Each task sends its own counts, in blocks of cells, so what
-is gathered grows with the corpus; their sum is bounded by the number of cells.
+Words and bigrams are counted by 64-bit hashes, in tables that grow with the corpus. Neither
+tables nor texts pass through the driver: texts are kept in chunks, a chunk asks for each of
+its n-grams once, and what the tables answer returns to the chunk. So a frequent n-gram
+costs one key per chunk, and no table is held as a whole anywhere.
 """
 
 from __future__ import annotations
@@ -19,20 +21,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .exchange import columns
+from .exchange import columns, stored
 from .textbytes import mix, pieces, text_buffer, word_hashes, word_spans
 
-#: Cells of the vocabulary and of the bigrams, as powers of two.
-WORD_BITS, PAIR_BITS = 18, 20
-#: Mass of the prior in each context, in words; mass of the uniform part per cell.
+#: Mass of the prior in each context, in words; mass of the uniform part per word.
 PRIOR, UNIFORM = 50.0, 0.1
-_BLOCK_BITS = 14
+#: Words that the uniform part is over; a corpus that has more sets a larger number.
+VOCABULARY = 1 << 18
+#: Tables of words and of bigrams are cut by the upper bits of the hash.
+BUCKET_BITS = 11
+#: Bytes of text in a chunk, one text at least.
+CHUNK = 1 << 24
 _START = np.uint64(0x5851F42D4C957F2D)
-_CELLS = (1 << WORD_BITS) + (1 << PAIR_BITS)
+#: Counts of a word (seen, and seen as a context) and of a bigram, for background and target.
+_WORD, _PAIR = 0, 1
+_COUNTS = {_WORD: 4, _PAIR: 2}
 
 
 def word_cells(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(word, context, pair, counts)``: cells of each word, of the word before it (a text
+    """``(word, context, pair, counts)``: hashes of each word, of the word before it (a text
     starts after a fixed one) and of both; words per text. ASCII letters are lowered."""
     start, end, counts = word_spans(raw, offsets)
     words = word_hashes(raw, start, end, lower=True)
@@ -41,71 +48,164 @@ def word_cells(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     first = (np.cumsum(counts) - counts)[counts > 0]
     before[first] = _START
     pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + words)
-    cell = lambda x, bits: (x >> np.uint64(64 - bits)).astype(np.int64)
-    return cell(words, WORD_BITS), cell(before, WORD_BITS), cell(pair, PAIR_BITS), counts
+    return words, before, pair, counts
+
+
+def _cells(raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+    """``word_cells`` of a whole chunk, a piece at a time."""
+    parts = [word_cells(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in pieces(offsets)]
+    return [np.concatenate(x) for x in zip(*parts)]
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[list[pa.Array]]:
+    """Columns of about ``CHUNK`` bytes of text, which is the first of ``names``."""
+    held, size = [], 0
+    for cols in columns(batches, *names):
+        offsets = text_buffer(cols[0])[1]
+        for a, b in pieces(offsets, CHUNK):
+            n = int(offsets[b] - offsets[a])
+            if held and size + n > CHUNK:
+                yield [pa.concat_arrays(c) for c in zip(*held)]
+                held, size = [], 0
+            held.append([c.slice(a, b - a) for c in cols])
+            size += n
+    if held:
+        yield [pa.concat_arrays(c) for c in zip(*held)]
+
+
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in the smallest type that holds them; ``_counts`` finds it by the length."""
+    return np.ascontiguousarray(counts, np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def _counts(data: bytes, n: int, kind: int) -> np.ndarray:
+    width = len(data) // (n * _COUNTS[kind])
+    return np.frombuffer(data, f"<u{width}").reshape(_COUNTS[kind], n).astype(np.int64)
+
+
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys as steps, all first bytes before all second ones: near keys share zeros,
+    which shuffle and Parquet compress away."""
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T)
+    return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def _by_bucket(keys: np.ndarray, kind: int) -> Iterator[tuple[int, slice]]:
+    """``(bucket, positions)`` of sorted keys, ascending."""
+    own = (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(own, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(keys)]):
+        yield (kind << BUCKET_BITS) + int(own[a]), slice(int(a), int(b))
 
 
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cells = np.zeros((2, _CELLS), np.uint32)
-    for text, target in columns(batches, "text", "target"):
-        raw, offsets = text_buffer(text)
-        chosen = target.to_numpy(zero_copy_only=False)
-        for a, b in pieces(offsets):
-            word, _, pair, counts = word_cells(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            own = np.repeat(chosen[a:b], counts)
-            for k in (0, 1):
-                use = own == bool(k)
-                if use.any():
-                    cells[k, : 1 << WORD_BITS] += np.bincount(word[use], minlength=1 << WORD_BITS).astype(np.uint32)
-                    cells[k, 1 << WORD_BITS :] += np.bincount(pair[use], minlength=1 << PAIR_BITS).astype(np.uint32)
-    grid = cells.reshape(-1, 1 << _BLOCK_BITS)
-    used = np.flatnonzero(grid.any(axis=1))
-    yield pa.RecordBatch.from_pydict({
-        "block": pa.array(used, pa.int32()), "cells": pa.array([grid[b].tobytes() for b in used], pa.binary()),
-    })
+    for text, target in _chunks(batches, "text", "target"):
+        word, context, pair, counts = _cells(*text_buffer(text))
+        own = np.repeat(target.to_numpy(zero_copy_only=False).astype(np.int64), counts)
+        # A word and its use as a context share a key: rows are seen 0, 1, as a context 0, 1.
+        both = np.concatenate([own, own + 2])
+        for kind, keys, row in ((_WORD, np.concatenate([word, context]), both), (_PAIR, pair, own)):
+            keys, at = np.unique(keys, return_inverse=True)
+            n = np.bincount(row * len(keys) + at, minlength=_COUNTS[kind] * len(keys)).reshape(_COUNTS[kind], len(keys))
+            cut = list(_by_bucket(keys, kind))
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([b for b, _ in cut], pa.int32()),
+                "keys": pa.array([_packed(keys[s]) for _, s in cut], pa.binary()),
+                "counts": pa.array([_narrow(n[:, s]) for _, s in cut], pa.binary()),
+            })
+
+
+TABLE = "bucket int, keys binary, counts binary, known long, background long, target long"
+
 
+def _rows(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and counts of all rows, one after the other."""
+    keys = [_unpacked(k) for k in table["keys"].to_pylist()]
+    counts = [_counts(c, len(k), kind) for k, c in zip(keys, table["counts"].to_pylist())]
+    if not keys:
+        return np.zeros(0, np.uint64), np.zeros((_COUNTS[kind], 0), np.int64)
+    return np.concatenate(keys), np.concatenate(counts, axis=1)
 
-def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for block, cells in columns(batches, "block", "cells"):
-        for b, c in zip(block.to_pylist(), cells):
-            sums[b] = sums.get(b, 0) + np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64)
-    yield pa.RecordBatch.from_pydict({
-        "block": pa.array(list(sums), pa.int32()), "cells": pa.array([s.tobytes() for s in sums.values()], pa.binary()),
+
+def _merge(table: pa.Table) -> pa.Table:
+    bucket = table["bucket"][0].as_py()
+    keys, counts = _rows(table, bucket >> BUCKET_BITS)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    n = np.add.reduceat(counts[:, order], first, axis=1)
+    return pa.table({
+        "bucket": pa.array([bucket], pa.int32()),
+        "keys": pa.array([_packed(keys[first])], pa.binary()),
+        "counts": pa.array([_narrow(n)], pa.binary()),
+        "known": [int((n[:2].sum(axis=0) > 0).sum())], "background": [int(n[0].sum())], "target": [int(n[1].sum())],
     })
 
 
+@dataclass(frozen=True)
+class Mass:
+    """What is the same for all words: words of each model (background, target), distinct
+    words of both together."""
+
+    words: tuple[int, int]
+    known: int
+
+    def scale(self, k: int) -> float:
+        """Matched: the larger model is scaled to the mass of the smaller."""
+        return min(self.words) / self.words[k] if min(self.words) else 1.0
+
+    def alone(self, k: int, seen):
+        """Probability of a word by itself; all words that neither model knows are one more."""
+        s = self.scale(k)
+        return (seen * s + UNIFORM) / (self.words[k] * s + UNIFORM * max(VOCABULARY, self.known + 1))
+
+    def loss(self, k: int, seen, context, pair):
+        """Bits of a word by the counts of itself, of its context and of both."""
+        s = self.scale(k)
+        return -np.log2((pair * s + PRIOR * self.alone(k, seen)) / (context * s + PRIOR))
+
+
 @dataclass(frozen=True)
 class Models:
-    """Per model (background, target): probability of a word's cell by itself, counts of the
-    word cells as contexts and of the pair cells."""
-
-    alone: np.ndarray
-    context: np.ndarray
-    pair: np.ndarray
-
-    def losses(self, word: np.ndarray, context: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bits of each word under the background and the target model."""
-        return tuple(
-            -np.log2((self.pair[k][pair] + PRIOR * self.alone[k][word]) / (self.context[k][context] + PRIOR)) for k in (0, 1)
-        )
-
-
-def models_of(counts: np.ndarray) -> Models:
-    """``counts``: cells of the background and of the target."""
-    counts = counts.astype(np.float64)
-    words = counts[:, : 1 << WORD_BITS]
-    total = words.sum(axis=1)
-    if total.min() > 0:  # matched: the larger model is scaled to the mass of the smaller
-        counts = counts * (total.min() / total)[:, None]
-        words = counts[:, : 1 << WORD_BITS]
-    alone = (words + UNIFORM) / (words.sum(axis=1, keepdims=True) + UNIFORM * (1 << WORD_BITS))
-    pair = counts[:, 1 << WORD_BITS :]
-    # A cell may share its counts with others; a context has seen at least each of its pairs.
-    start = int(_START >> np.uint64(64 - WORD_BITS))
-    context = words.copy()
-    context[:, start] += words.sum(axis=1) / 100
-    return Models(alone.astype(np.float32), context.astype(np.float32), pair.astype(np.float32))
+    """Both models: ``table`` holds sorted keys and their counts by kind and bucket. For looking
+    at one n-gram at a time, ``alone``, ``context`` and ``pair`` give its value by hash, per
+    model (background, target)."""
+
+    table: DataFrame
+    mass: Mass
+
+    def _seen(self, kind: int, row: int, key) -> int:
+        bucket = (kind << BUCKET_BITS) + (int(key) >> (64 - BUCKET_BITS))
+        for r in self.table.where(F.col("bucket") == bucket).collect():
+            keys = _unpacked(r["keys"])
+            at = int(np.searchsorted(keys, np.uint64(key)))
+            if at < len(keys) and keys[at] == np.uint64(key):
+                return int(_counts(bytes(r["counts"]), len(keys), kind)[row, at])
+        return 0
+
+    @property
+    def alone(self) -> tuple[_One, _One]:
+        return tuple(_One(lambda key, k=k: self.mass.alone(k, self._seen(_WORD, k, key))) for k in (0, 1))
+
+    @property
+    def context(self) -> tuple[_One, _One]:
+        return tuple(_One(lambda key, k=k: self.mass.scale(k) * self._seen(_WORD, 2 + k, key)) for k in (0, 1))
+
+    @property
+    def pair(self) -> tuple[_One, _One]:
+        return tuple(_One(lambda key, k=k: self.mass.scale(k) * self._seen(_PAIR, k, key)) for k in (0, 1))
+
+
+class _One:
+    def __init__(self, find):
+        self.find = find
+
+    def __getitem__(self, key) -> float:
+        return self.find(key)
 
 
 def train(docs: DataFrame, target: DataFrame) -> Models:
@@ -115,31 +215,72 @@ def train(docs: DataFrame, target: DataFrame) -> Models:
     chosen = chosen.withColumn("target", F.lit(True))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(chosen, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    schema = "block int, cells binary"
-    blocks = 2 * _CELLS >> _BLOCK_BITS
-    summed = rows.mapInArrow(_count, schema).repartition(blocks, "block").mapInArrow(_add, schema)
-    counts = np.zeros((blocks, 1 << _BLOCK_BITS), np.int64)
-    for r in summed.collect():  # eight bytes per cell
-        counts[r["block"]] = np.frombuffer(r["cells"], np.int64)
-    return models_of(counts.reshape(2, _CELLS))
-
-
-def _score(batches: Iterable[pa.RecordBatch], models) -> Iterator[pa.RecordBatch]:
-    models = models.value
-    for doc, text in columns(batches, "doc_id", "text"):
-        raw, offsets = text_buffer(text)
-        words, loss = np.zeros(len(text), np.int64), np.zeros((2, len(text)))
-        for a, b in pieces(offsets):
-            word, context, pair, counts = word_cells(raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            words[a:b] = counts
-            for k, bits in enumerate(models.losses(word, context, pair)):
-                sums = np.concatenate([[0.0], np.cumsum(bits, dtype=np.float64)])
-                loss[k, a:b] = sums[ends[1:]] - sums[ends[:-1]]
-        mean = loss / np.maximum(words, 1)
-        yield pa.RecordBatch.from_pydict({
-            "doc_id": doc, "n_words": words, "target_loss": mean[1], "background_loss": mean[0], "score": mean[1] - mean[0],
-        })
+    counted = rows.mapInArrow(_count, "bucket int, keys binary, counts binary")
+    table = stored(counted.groupBy("bucket").applyInArrow(_merge, TABLE), "ngrams")
+    words = table.where(F.col("bucket") < 1 << BUCKET_BITS)
+    sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("background", "target", "known"))).first()
+    return Models(table, Mass((sums["background"], sums["target"]), sums["known"]))
+
+
+def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for text, doc in _chunks(batches, "text", "doc_id"):
+        whole = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in (doc, text)]
+        yield pa.RecordBatch.from_arrays(whole, ["doc_id", "text"])
+
+
+def _keys(word: np.ndarray, pair: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``(kind, keys, positions)``: a chunk's keys, ascending, and where each n-gram is among
+    them; the text start comes last among the words."""
+    if len(word):
+        for kind, of in ((_WORD, np.append(word, _START)), (_PAIR, pair)):
+            yield kind, *np.unique(of, return_inverse=True)
+
+
+def _ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunks, texts in columns(batches, "chunk", "text"):
+        for chunk, text in zip(chunks, texts):
+            word, _, pair, _ = _cells(*text_buffer(text.values))
+            for kind, keys, _ in _keys(word, pair):
+                cut = list(_by_bucket(keys, kind))
+                yield pa.RecordBatch.from_pydict({
+                    "chunk": pa.array([chunk.as_py()] * len(cut), pa.int64()),
+                    "bucket": pa.array([b for b, _ in cut], pa.int32()),
+                    "keys": pa.array([_packed(keys[s]) for _, s in cut], pa.binary()),
+                })
+
+
+def _answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+    """Counts in the order of the keys that were asked for; none for unknown keys."""
+    bucket = (asked if asked.num_rows else table)["bucket"][0].as_py()
+    keys, counts = _rows(table, bucket >> BUCKET_BITS)
+    keys, counts = np.append(keys, np.uint64(0)), np.pad(counts, ((0, 0), (0, 1)))
+    out = []
+    for wanted in asked["keys"].to_pylist():
+        wanted = _unpacked(wanted)
+        at = np.searchsorted(keys[:-1], wanted)
+        out.append(_narrow(np.where((at < len(keys) - 1) & (keys[at] == wanted), counts[:, at], 0)))
+    return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "counts": pa.array(out, pa.binary())})
+
+
+def _score(chunk: pa.Table, answers: pa.Table, mass: Mass) -> pa.Table:
+    doc, text = (chunk[c].combine_chunks().flatten() for c in ("doc_id", "text"))
+    word, _, pair, words = _cells(*text_buffer(text))
+    told = dict(zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()))
+    known, at = {}, {}
+    for kind, keys, at[kind] in _keys(word, pair):
+        known[kind] = np.concatenate([_counts(told[b], s.stop - s.start, kind) for b, s in _by_bucket(keys, kind)], axis=1)
+    mean = np.zeros((2, len(words)))
+    if known:
+        ends = np.concatenate([[0], np.cumsum(words)])
+        before = np.roll(at[_WORD], 1)[:-1]
+        before[ends[:-1][words > 0]] = at[_WORD][-1]
+        for k in (0, 1):
+            bits = mass.loss(k, known[_WORD][k][at[_WORD][:-1]], known[_WORD][2 + k][before], known[_PAIR][k][at[_PAIR]])
+            sums = np.concatenate([[0.0], np.cumsum(bits)])
+            mean[k] = (sums[ends[1:]] - sums[ends[:-1]]) / np.maximum(words, 1)
+    return pa.table({
+        "doc_id": doc, "n_words": words.astype(np.int64), "target_loss": mean[1], "background_loss": mean[0], "score": mean[1] - mean[0],
+    })
 
 
 def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
@@ -151,7 +292,12 @@ def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
     background. An empty table gives no rows; columns besides ``doc_id`` and ``text`` are
     not looked at.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    packed = rows.mapInArrow(_pack, "doc_id array<long>, text array<string>")
+    chunks = stored(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    asked = chunks.select("chunk", "text").mapInArrow(_ask, "chunk long, bucket int, keys binary")
+    tables = models.table.select("bucket", "keys", "counts").groupBy("bucket")
+    answers = asked.groupBy("bucket").cogroup(tables).applyInArrow(_answer, "chunk long, bucket int, counts binary")
+    answers = stored(answers, "answers")
     schema = "doc_id long, n_words long, target_loss double, background_loss double, score double"
-    return rows.mapInArrow(partial(_score, models=shared), schema)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(partial(_score, mass=models.mass), schema)

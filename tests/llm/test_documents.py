@@ -161,6 +161,38 @@ def test_lm_scores_by_brute_force(spark, docs, none):
     assert lm.cross_entropy_difference(none, lm.train(none, labels)).count() == 0
 
 
+def test_lm_counts_every_bigram_by_itself(spark):
+    # A million and a half distinct bigrams: no table of fixed size keeps them apart.
+    n, size = 300, 2500
+    texts = [" ".join(f"w{(i * size + j) * 7919 % 1_000_003}x{j % 3}" for j in range(2 * size)) for i in range(n)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    models = lm.train(table, spark.range(0, n, 3).withColumnRenamed("id", "doc_id"))
+    words, contexts, pairs = (tuple(Counter() for _ in "01") for _ in range(3))
+    for i, t in enumerate(texts):
+        own = t.split()
+        k = int(i % 3 == 0)
+        words[k].update(own)
+        contexts[k].update(["", *own[:-1]])
+        pairs[k].update(zip(["", *own[:-1]], own))
+    total = [sum(w.values()) for w in words]
+    scale = [min(total) / t for t in total]
+    known = len(words[0] | words[1])
+    assert len(pairs[0] | pairs[1]) > 1 << 20 and known > lm.VOCABULARY and models.mass == lm.Mass(tuple(total), known)
+    found = {r.doc_id: r for r in lm.cross_entropy_difference(table, models).collect()}
+    assert len(found) == n
+    for i in range(0, n, 37):
+        own, losses = texts[i].split(), []
+        for k in (0, 1):
+            bits = 0.0
+            for c, w in zip(["", *own[:-1]], own):
+                alone = (words[k][w] * scale[k] + lm.UNIFORM) / (total[k] * scale[k] + lm.UNIFORM * max(lm.VOCABULARY, known + 1))
+                top = pairs[k][c, w] * scale[k] + lm.PRIOR * alone
+                assert pairs[k][c, w] <= contexts[k][c]
+                bits -= np.log2(top / (contexts[k][c] * scale[k] + lm.PRIOR))
+            losses.append(bits / len(own))
+        assert (found[i].background_loss, found[i].target_loss) == pytest.approx(losses, rel=1e-9)
+
+
 def test_budgets_go_to_siblings_before_ancestors():
     leaves = {("a", "x", "1"): 10, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
     got = mixing.budgets(leaves, mixing.Target(total=800))
