@@ -125,11 +125,17 @@ def _load(ids, data, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _best(ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
-    if len(ids) > 4 * k:
-        least = np.partition(score, len(score) - k)[len(score) - k]
-        keep = np.flatnonzero(score >= least)
-        return keep[np.lexsort((ids[keep], -score[keep]))[:k]]
-    return np.lexsort((ids, -score))[:k]
+    """Places of the ``k`` best ids, each at its best score, however many rows repeat it."""
+    rows = 4 * k
+    while True:
+        keep = np.arange(len(ids))
+        if len(ids) > rows:
+            keep = np.flatnonzero(score >= np.partition(score, len(score) - rows)[len(score) - rows])
+        order = keep[np.lexsort((ids[keep], -score[keep]))]
+        first = np.sort(np.unique(ids[order], return_index=True)[1])
+        if len(first) >= k or len(keep) == len(ids):
+            return order[first[:k]]
+        rows *= 4
 
 
 FOUND = "query_id long, vec_id long, score double"

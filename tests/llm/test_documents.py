@@ -285,6 +285,20 @@ def test_nearest(spark):
     assert nearest(table.where("vec_id = 5000"), lambda v: v % 50 == 0).count() == 0
 
 
+def test_nearest_counts_repeated_rows_once(spark):
+    rng = np.random.RandomState(1)
+    base = rng.standard_normal((300, 8))
+    for i in range(1, 8):  # ascending distance from the query
+        base[i] = base[0] + 0.02 * i * rng.choice([-1, 1], 8)
+    rows = [(i, x.tolist()) for i, x in enumerate(base)] + 40 * [(1, base[1].tolist())] + 7 * [(2, base[2].tolist())]
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    best = sorted(range(1, 300), key=lambda i: (-(unit[i] @ unit[0]), i))[:5]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    for part in (table, table.where("vec_id < 8")):
+        found = sorted(nearest(part, lambda v: v == 0).collect(), key=lambda r: r["rank"])
+        assert [r.vec_id for r in found] == best
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
