@@ -24,6 +24,14 @@ def texts(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(*own, *keep, row_key().alias("row"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stored(df: DataFrame, label: str, *, release: bool = True) -> DataFrame:
     """Write an intermediate table into the shared folder and read it back.
 

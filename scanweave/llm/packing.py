@@ -175,6 +175,28 @@ def _knapsack(sizes: np.ndarray, value: np.ndarray, room: int) -> tuple[float, n
     return best[room], counts
 
 
+# The linear algebra of the program is written with array steps alone: the driver's process
+# has a Java gateway and its threads, beside which a threaded LAPACK call may not return.
+
+
+def _times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(axis=1)
+
+
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """By elimination with row pivots."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for c in range(n):
+        p = c + int(np.argmax(np.abs(both[c:, c])))
+        both[[c, p]] = both[[p, c]]
+        both[c] /= both[c, c]
+        factor = both[:, c].copy()
+        factor[c] = 0
+        both -= factor[:, None] * both[c]
+    return both[:, n:]
+
+
 def solve(sizes: np.ndarray, demand: np.ndarray, room: int, *, gap: float = 2e-3, steps: int = 24) -> list[tuple[np.ndarray, float]]:
     """Patterns and how often to use each, fractions allowed: the linear program by
     column generation, to within ``gap`` of its optimum or ``steps`` times the number
@@ -187,7 +209,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, *, gap: float = 2e-3
     m = len(sizes)
     patterns = np.diag((room // sizes).astype(float))
     inverse = np.diag(1.0 / np.diag(patterns))
-    use = inverse @ demand
+    use = _times(inverse, demand)
     centre = sizes / room
     low = float(centre @ demand)
     for step in range(1, steps * m + 1):
@@ -204,7 +226,7 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, *, gap: float = 2e-3
                 break
         else:
             break
-        ray = inverse @ entering
+        ray = _times(inverse, entering)
         up = ray > 1e-9
         ratio = np.full(m, np.inf)
         ratio[up] = use[up] / ray[up]
@@ -214,11 +236,11 @@ def solve(sizes: np.ndarray, demand: np.ndarray, room: int, *, gap: float = 2e-3
         use = np.maximum(use, 0)
         inverse[out] /= ray[out]
         ray[out] = 0
-        inverse -= np.outer(ray, inverse[out])
+        inverse -= ray[:, None] * inverse[out]
         patterns[:, out] = entering
         if step % 200 == 0:  # rounding errors add up
-            inverse = np.linalg.inv(patterns)
-            use = np.maximum(inverse @ demand, 0)
+            inverse = _inverse(patterns)
+            use = np.maximum(_times(inverse, demand), 0)
     return [(patterns[:, j].astype(np.int64), use[j]) for j in range(m) if use[j] > 0]
 
 

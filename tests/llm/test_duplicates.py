@@ -102,6 +102,12 @@ def test_one_of_each(docs, rows):
     assert all(sum(k in own for k in kept) == 1 for own in groups.values())
 
 
+def test_one_of_each_keeps_every_column(spark):
+    rows = [(1, "a b c", 7, 70), (2, "a b c", 8, 80), (3, None, 9, 90), (3, None, 9, 90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ROW int, _row int")
+    assert sorted(tuple(r) for r in one_of_each(docs).collect()) == [rows[0], rows[2]]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(120)]
