@@ -107,8 +107,8 @@ def _typed_pairs(spark, path):
 
 def dns_errors(spark, folder):
     records = _records(spark, folder)
-    bad = unusable_records(records).drop("source")
-    return bad.union(answer_errors(usable_records(records), keep=["scan_date"]))
+    bad = unusable_records(records).select("scan_date", "reason", "payload")
+    return bad.unionByName(answer_errors(usable_records(records), keep=["scan_date"]))
 
 
 CATALOG = {

@@ -155,9 +155,13 @@ def good_rows(rows: DataFrame) -> DataFrame:
 
 
 def bad_rows(rows: DataFrame) -> DataFrame:
-    """``(scan_date, source, reason, payload)`` of the rows that did not fit."""
+    """``(scan_date, source, scan, file, reason, payload)`` of the rows that did not fit."""
     bad = rows.where(F.col(CORRUPT).isNotNull())
-    return bad.select("scan_date", "source", F.lit("malformed row").alias("reason"), F.col(CORRUPT).alias("payload"))
+    return bad.select(*_origin_of(rows), F.lit("malformed row").alias("reason"), F.col(CORRUPT).alias("payload"))
+
+
+def _origin_of(rows: DataFrame) -> list[str]:
+    return [c for c in ("scan_date", "source", "scan", "file") if c in rows.columns]
 
 
 def usable_records(records: DataFrame) -> DataFrame:
@@ -166,12 +170,11 @@ def usable_records(records: DataFrame) -> DataFrame:
 
 
 def unusable_records(records: DataFrame) -> DataFrame:
-    """``(scan_date, source, reason, payload)`` of the lines that are no DNS record."""
+    """``(scan_date, source, scan, file, reason, payload)`` of the lines that are no DNS record."""
     reason = F.when(F.col(CORRUPT).isNotNull(), "malformed line").otherwise("no name")
     payload = F.coalesce(F.col(CORRUPT), F.to_json(F.struct("answers")))
     bad = records.where(F.col(CORRUPT).isNotNull() | F.col("name").isNull())
-    origin = [c for c in ("scan_date", "source", "scan", "file") if c in records.columns]
-    return bad.select(*origin, reason.alias("reason"), payload.alias("payload"))
+    return bad.select(*_origin_of(records), reason.alias("reason"), payload.alias("payload"))
 
 
 def clean_names(rows: DataFrame, column: str) -> DataFrame:
