@@ -76,11 +76,23 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    from .pieces import round_trip
+
+    rows = round_trip(_table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.selectExpr(
+        "doc_id",
+        "CAST(size(ids) AS long) AS n_tokens",
+        "sha2(CAST(array_join(CAST(ids AS array<string>), ',') AS binary), 256) AS ids_sha256",
+        "sha2(CAST(decoded AS binary), 256) AS decoded_sha256",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe, op2_quality, op3_ngram_jaccard, op4_packing, op5_substring, op6_suffix,
-        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts,
+        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts, op12_sentencepiece,
     )
 }
 
