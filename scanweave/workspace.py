@@ -44,6 +44,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table of ``scratch_dir`` that no later step reads."""
+    fs, target = _filesystem(spark, path)
+    fs.delete(target, True)
+
+
 def partition_values(spark: SparkSession, table: str, names: Sequence[str]) -> list[tuple[str, ...]]:
     """Values of the partition folders of ``table``; reads folder names only."""
     fs, target = _filesystem(spark, "/".join([table, *(f"{n}=*" for n in names)]))
