@@ -16,25 +16,30 @@ per centroid and component.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from functools import partial
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .exchange import pack, stored, unpack
+from ..workspace import materialize, remove, scratch_dir
+from .exchange import columns, pack, unpack
 
 #: Vectors of a block.
 BLOCK = 8192
-#: Components within this range keep squared distances in 64 bits at 64 components.
-RANGE = 1 << 27
 #: Rounding errors of the bounds, which are floating point: relative, far above those of a square root.
 SLACK = 1e-9
+CENTROIDS = "cluster int, n long, inertia long, total long, centroid array<long>"
 STATE = "ids binary, vectors binary, state binary, counts array<long>, sums array<long>, inertia array<long>"
 
 
+def reach(size: int) -> int:
+    """Components up to this keep squared distances of ``size`` components in 64 bits."""
+    return isqrt((2**63 - 1) // size) // 2
+
+
 def usable(vector: Column, size: int) -> Column:
     """Exactly ``size`` components, none null, NaN or infinite."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -63,8 +68,8 @@ def _blocks(batches: Iterable[pa.RecordBatch], size: int, scale: int) -> Iterato
             x = rows.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
             with np.errstate(over="ignore"):
                 x = np.floor(x * float(scale))
-            if (np.abs(x) > RANGE).any():
-                raise ValueError(f"a component is beyond {RANGE} after scaling: distances would not fit 64 bits")
+            if (np.abs(x) > reach(size)).any():
+                raise ValueError(f"a component is beyond {reach(size)} after scaling: distances would not fit 64 bits")
             held.append((ids, null, x.astype(np.int32)))
             if sum(len(h[0]) for h in held) >= BLOCK:
                 yield flush()
@@ -110,15 +115,16 @@ class Search:
         swap = (to_second < to_near) | ((to_second == to_near) & (second < near))
         near, second = np.where(swap, second, near), np.where(swap, near, second)
         to_near, to_second = np.where(swap, to_second, to_near), np.where(swap, to_near, to_second)
-        for start in np.unique(near):
-            rows = np.flatnonzero(near == start)
-            x, reach = vectors[rows], _up(to_near[rows])
+        begin = near.copy()
+        for start in np.unique(begin):
+            rows = np.flatnonzero(begin == start)
+            x, inner = vectors[rows], _up(to_near[rows])
             best, best_d, next_, next_d = near[rows], to_near[rows], second[rows], to_second[rows]
             remembered = second[rows].copy()
             open_ = np.arange(len(rows))
             for c in self.neighbours[start]:
                 # Nothing beyond this ball is nearer than the second found so far.
-                open_ = open_[self.between[start, c] <= reach[open_] + _up(next_d[open_])]
+                open_ = open_[self.between[start, c] <= inner[open_] + _up(next_d[open_])]
                 if not len(open_):
                     break
                 at = open_[remembered[open_] != c]
@@ -146,16 +152,15 @@ def _sums(vectors: np.ndarray, near: np.ndarray, k: int) -> np.ndarray:
 def _round(batches: Iterable[pa.RecordBatch], centres, size: int, last: bool) -> Iterator[pa.RecordBatch]:
     now, before = centres.value
     search, k = Search(now, before), len(now)
-    for batch in batches:
-        for row in batch.to_pylist():
-            vectors = unpack(row["vectors"], "i4")[0].reshape(-1, size)
-            n = len(vectors)
-            null = row["state"][:n]
+    for ids, packed, states in columns(batches, "ids", "vectors", "state"):
+        for place in range(len(ids)):
+            vectors = unpack(packed[place].as_buffer(), "i4")[0].reshape(-1, size)
+            n, state = len(vectors), memoryview(states[place].as_buffer())
             if before is None:  # nothing is remembered yet: any two centroids and no bounds
                 near, second = np.zeros(n, np.int64), np.full(n, min(1, k - 1))
                 upper, lower = np.full(n, np.inf), np.full(n, -np.inf)
             else:
-                near, second, upper, lower = (x.copy() for x in unpack(row["state"][n:], "i4", "i4", "f8", "f8"))
+                near, second, upper, lower = (x.copy() for x in unpack(state[n:], "i4", "i4", "f8", "f8"))
                 upper, lower = search.loosened(near, upper, lower)
             squared = np.zeros(n, np.int64)
             if k > 1:
@@ -165,9 +170,9 @@ def _round(batches: Iterable[pa.RecordBatch], centres, size: int, last: bool) ->
             if last:
                 squared = search._to(vectors, near)
             yield pa.RecordBatch.from_pydict({
-                "ids": pa.array([row["ids"]], pa.binary()),
-                "vectors": pa.array([row["vectors"]], pa.binary()),
-                "state": pa.array([null + pack(near.astype("i4"), second.astype("i4"), upper, lower) + (pack(squared) if last else b"")], pa.binary()),
+                "ids": ids[place : place + 1],
+                "vectors": packed[place : place + 1],
+                "state": pa.array([bytes(state[:n]) + pack(near.astype("i4"), second.astype("i4"), upper, lower) + (pack(squared) if last else b"")], pa.binary()),
                 "counts": pa.array([np.bincount(near, minlength=k)], pa.list_(pa.int64())),
                 "sums": pa.array([_sums(vectors, near, k).ravel()], pa.list_(pa.int64())),
                 "inertia": pa.array([[int(squared[near == c].sum()) for c in range(k)] if last else []], pa.list_(pa.int64())),
@@ -191,24 +196,17 @@ def _moved(centres: np.ndarray, blocks: DataFrame) -> np.ndarray:
 
 
 def _results(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids = unpack(row["ids"], "i8")[0]
+    for packed, states in columns(batches, "ids", "state"):
+        for x, y in zip(packed, states):
+            ids, state = unpack(x.as_buffer(), "i8")[0], memoryview(y.as_buffer())
             n = len(ids)
-            null, state = np.frombuffer(row["state"][:n], bool), row["state"][n:]
+            null, state = np.frombuffer(state[:n], bool), state[n:]
             near, squared = np.frombuffer(state, "i4", n), np.frombuffer(state, "i8", n, 24 * n)
             yield pa.RecordBatch.from_pydict({
                 "vec_id": pa.array(ids, pa.int64(), mask=null), "cluster": near, "distance": squared,
             })
 
 
-def _drop(spark: SparkSession, blocks: DataFrame | None) -> None:
-    """Delete the table of a round that no later one reads."""
-    for file in blocks.inputFiles()[:1] if blocks is not None else ():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def starts(rows: DataFrame, k: int, seed: int, scale: int) -> np.ndarray:
     """The ``k`` vectors with the smallest hashed ids; of one id's vectors the smallest."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
@@ -216,10 +214,6 @@ def starts(rows: DataFrame, k: int, seed: int, scale: int) -> np.ndarray:
     return np.floor(np.array([r["vector"] for r in first], np.float64) * scale).astype(np.int64)
 
 
-def centroid_digest(centre: Iterable[int]) -> str:
-    return hashlib.sha256(",".join(str(int(x)) for x in centre).encode()).hexdigest()
-
-
 def cluster_vectors(
     vectors: DataFrame, *, vector: str = "embedding", size: int = 64, k: int = 8, rounds: int = 10,
     seed: int = 3, scale: int = 1024,
@@ -227,10 +221,10 @@ def cluster_vectors(
     """``(members, centroids)`` of ``k`` clusters after ``rounds`` rounds and a last assignment.
 
     Vectors are those of exactly ``size`` components without nulls, NaN or infinities, each
-    component ``x`` as the integer ``floor(scale * x)``; beyond ``RANGE`` that is an error, as
+    component ``x`` as the integer ``floor(scale * x)``; beyond ``reach(size)`` that is an error, as
     squared distances would leave 64 bits. ``members``: ``vec_id, cluster, distance`` (squared),
-    one row per such vector, repeated ones too. ``centroids``: ``cluster, n, inertia, centroid
-    array<long>``; an empty cluster has ``n`` 0. Ties go to the smaller cluster. Rows without an
+    one row per such vector, repeated ones too. ``centroids``: ``cluster, n, inertia, total,
+    centroid``, with ``total`` the inertia of all clusters; an empty cluster has ``n`` 0. Ties go to the smaller cluster. Rows without an
     id are clustered but never start a cluster. With fewer than ``k`` vectors to start from
     there are so many clusters; with none both tables are empty. Columns besides ``vec_id`` and
     ``vector`` are not looked at.
@@ -242,19 +236,21 @@ def cluster_vectors(
     if not len(centres):
         return (
             spark.createDataFrame([], "vec_id long, cluster int, distance long"),
-            spark.createDataFrame([], "cluster int, n long, inertia long, centroid array<long>"),
+            spark.createDataFrame([], CENTROIDS),
         )
-    blocks = stored(rows.mapInArrow(partial(_blocks, size=size, scale=scale), STATE), "vectors", release=False)
-    old = before = None
+    path, before = scratch_dir(spark, "vectors"), None
+    blocks = materialize(rows.mapInArrow(partial(_blocks, size=size, scale=scale), STATE), path)
     for r in range(rounds + 1):
         shared = spark.sparkContext.broadcast((centres, before))
         step = partial(_round, centres=shared, size=size, last=r == rounds)
-        old, blocks = blocks, stored(blocks.mapInArrow(step, STATE), f"round-{r}", release=False)
-        _drop(spark, old)
+        used, path = path, scratch_dir(spark, f"round-{r}")
+        blocks = materialize(blocks.mapInArrow(step, STATE), path)
+        remove(spark, used)
         shared.destroy()
         if r < rounds:
             before, centres = centres, _moved(centres, blocks)
     counts, inertia = _total(blocks, "counts"), _total(blocks, "inertia")
-    found = [(c, counts.get(c, 0), inertia.get(c, 0), x.tolist()) for c, x in enumerate(centres)]
-    centroids = spark.createDataFrame(found, "cluster int, n long, inertia long, centroid array<long>")
+    total = sum(inertia.values())
+    found = [(c, counts.get(c, 0), inertia.get(c, 0), total, x.tolist()) for c, x in enumerate(centres)]
+    centroids = spark.createDataFrame(found, CENTROIDS)
     return blocks.select("ids", "state").mapInArrow(_results, "vec_id long, cluster int, distance long"), centroids

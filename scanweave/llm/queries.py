@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -76,6 +76,17 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_shallot(spark: SparkSession, folder: str) -> DataFrame:
+    from .kmeans import cluster_vectors
+
+    members, centroids = cluster_vectors(_table(spark, folder, "embeddings"))
+    centroids = centroids.selectExpr(  # one row per cluster: eight
+        "cluster", "inertia AS cluster_inertia", "total AS inertia",
+        "sha2(CAST(array_join(CAST(centroid AS array<string>), ',') AS binary), 256) AS centroid_sha256",
+    )
+    return members.join(F.broadcast(centroids), "cluster").select("vec_id", "cluster", "distance", *centroids.columns[1:])
+
+
 def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     from .pieces import round_trip
 
@@ -92,11 +103,31 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe, op2_quality, op3_ngram_jaccard, op4_packing, op5_substring, op6_suffix,
-        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts, op12_sentencepiece,
+        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts, op11_shallot, op12_sentencepiece,
     )
 }
 
+
+def _shallot_sql(rounds: int = 10) -> str:
+    """Lloyd's rounds written out, every distance computed."""
+    near = """a{r} AS MATERIALIZED (SELECT rid, x.c, x.d FROM (SELECT rid, min({{'d': list_sum(list_transform(list_zip(v, m),
+  lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'c': c}}) AS x FROM v CROSS JOIN c{r} GROUP BY rid))"""
+    move = """c{s} AS MATERIALIZED (SELECT c, coalesce(n.m, c{r}.m) AS m FROM c{r} LEFT JOIN (
+  SELECT c, list((s - (s % n + n) % n) // n ORDER BY i) AS m FROM (
+    SELECT a{r}.c, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r} JOIN v USING (rid), range(1, 65) t(i) GROUP BY a{r}.c, i) GROUP BY c) n USING (c))"""
+    steps = [f.format(r=r, s=r + 1) for r in range(rounds) for f in (near, move)] + [near.format(r=rounds)]
+    return f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+  list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256(concat('3:', vec_id)), v) - 1 AS c, v AS m FROM v
+  WHERE vec_id IS NOT NULL QUALIFY c < 8),
+{", ".join(steps)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256 FROM a{rounds} JOIN v USING (rid) JOIN c{rounds} USING (c)"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_shallot": _shallot_sql(),
     "op2_quality": r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
