@@ -46,6 +46,15 @@ def usable(vector: Column, size: int) -> Column:
     return F.coalesce((F.size(vector) == size) & fine, F.lit(False))
 
 
+def _scaled(x: np.ndarray, scale: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = np.floor(x * float(scale))
+    limit = reach(x.shape[-1])
+    if (np.abs(x) > limit).any():
+        raise ValueError(f"a component is beyond {limit} after scaling: distances would not fit 64 bits")
+    return x
+
+
 def _blocks(batches: Iterable[pa.RecordBatch], size: int, scale: int) -> Iterator[pa.RecordBatch]:
     """Vectors as blocks of integers, in four bytes a component. An id may be null: the
     first byte of ``state`` tells."""
@@ -66,11 +75,7 @@ def _blocks(batches: Iterable[pa.RecordBatch], size: int, scale: int) -> Iterato
             null = rows.column("vec_id").is_null().to_numpy(zero_copy_only=False)
             ids = rows.column("vec_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             x = rows.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
-            with np.errstate(over="ignore"):
-                x = np.floor(x * float(scale))
-            if (np.abs(x) > reach(size)).any():
-                raise ValueError(f"a component is beyond {reach(size)} after scaling: distances would not fit 64 bits")
-            held.append((ids, null, x.astype(np.int32)))
+            held.append((ids, null, _scaled(x, scale).astype(np.int32)))
             if sum(len(h[0]) for h in held) >= BLOCK:
                 yield flush()
     if held:
@@ -211,7 +216,7 @@ def starts(rows: DataFrame, k: int, seed: int, scale: int) -> np.ndarray:
     """The ``k`` vectors with the smallest hashed ids; of one id's vectors the smallest."""
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     first = rows.where("vec_id IS NOT NULL").orderBy(key, "vector").limit(k).select("vector").collect()
-    return np.floor(np.array([r["vector"] for r in first], np.float64) * scale).astype(np.int64)
+    return _scaled(np.array([r["vector"] for r in first], np.float64), scale).astype(np.int64)
 
 
 def cluster_vectors(

@@ -99,11 +99,17 @@ def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hybrid_search(spark: SparkSession, folder: str) -> DataFrame:
+    from .ranking import ranked
+
+    return ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_multiprobe, op2_quality, op3_ngram_jaccard, op4_packing, op5_substring, op6_suffix,
-        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts, op11_shallot, op12_sentencepiece,
+        op7_lm_scoring, op8_mixing, op9_language, op10_token_counts, op11_shallot, op12_sentencepiece, op13_hybrid_search,
     )
 }
 
@@ -128,6 +134,22 @@ SELECT vec_id, c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY c
 
 ORACLES: dict[str, str] = {
     "op11_shallot": _shallot_sql(),
+    "op13_hybrid_search": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+q AS (SELECT row_number() OVER () AS qid, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+l AS (SELECT rid, doc_id, len(ts)::BIGINT AS n FROM d WHERE len(ts) > 0),
+s AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM l),
+qt AS (SELECT qid, item_id, t, count(*) AS k FROM (SELECT qid, item_id, unnest(ts) AS t FROM q) GROUP BY ALL),
+tf AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM qt) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY t, all_docs),
+m AS (SELECT rid, doc_id, 75 + (25 * n * all_docs) // all_terms AS m FROM l, s),
+sc AS (SELECT qid, item_id, rid, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM qt JOIN tf USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0) WHERE rank <= 20
+""",
     "op2_quality": r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
