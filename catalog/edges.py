@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from scanweave.functions.suffix import with_redirect_host
 from scanweave.operators.degrees import attach_degrees, degrees, number_vertices
 from scanweave.operators.edges import (
+    edge_members,
     fold_edges,
     merge_observations,
     resolve_endpoints,
@@ -13,7 +14,6 @@ from scanweave.operators.edges import (
 )
 from scanweave.operators.ids import assign_ids
 from scanweave.operators.nodes import cert_nodes
-from scanweave.operators.skew import heavy_keys
 from scanweave.plans.graph import redirect_observations
 from scanweave.workspace import materialize, scratch_dir
 
@@ -98,9 +98,11 @@ def folded_edges_heavy(spark, folder):
             "from": F.when(F.dayofmonth("scan_date") <= 10, F.lit("c_0")).otherwise(F.col("from")),
         }
     )
-    seen = materialize(seen, scratch_dir(spark, "observations"))
-    heavy = heavy_keys(seen, ["from", "to"], rows_per_task=1000)
-    return _as_text(fold_edges(seen, ("from", "to"), sets={"sni": "server_name_indicators"}, heavy=heavy))
+    return _as_text(fold_edges(seen, ("from", "to"), sets={"sni": "server_name_indicators"}))
+
+
+def returns_names(spark, folder):
+    return edge_members(_observed(spark, folder), "sni", ("from", "to"))
 
 
 _FOLD = """array_to_string(list_sort(list(DISTINCT scan_date)), ';') AS scan_dates,
@@ -220,6 +222,11 @@ CATALOG = {
             CASE WHEN day(scan_date) <= 10 THEN 'p_0' ELSE "to" END AS "to", scan_date, sni, valid FROM observed)
         SELECT "from", "to", {_FOLD} FROM one_pair GROUP BY ALL""",
     ),
+    "returns_names": (
+        returns_names,
+        f"""WITH observed AS (SELECT {_OBSERVED} FROM {_ITEMS})
+        SELECT "from", "to", sni, bool_or(valid) AS valid FROM observed WHERE sni IS NOT NULL GROUP BY ALL""",
+    ),
     "merge_observations": (
         merged_observations,
         f"""SELECT "from", "to", scan_date, bool_or(valid) AS valid FROM (

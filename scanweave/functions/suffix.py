@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import hashlib
 import itertools
 import os
 import zipfile
@@ -16,10 +17,6 @@ from .text import url_host
 
 EXACT, WILDCARD, EXCEPTION = 1, 2, 4
 
-# The list has about ten thousand rules; a user's own list is broadcast only up
-# to this many.
-BROADCAST_RULES = 100_000
-
 
 def _read_list(path: str | None) -> str:
     if path:
@@ -43,7 +40,10 @@ def _spellings(rule: str):
 
 class SuffixRules:
     """Small tables of suffixes by their number of labels, each with a bit mask of
-    the rule kinds it carries, without and with the private section of the list."""
+    the rule kinds it carries, without and with the private section of the list.
+
+    The list is a file that the driver reads, ten thousand rules as published; it does not
+    grow with the scans, so its tables are always broadcast."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         masks: dict[str, list[int]] = {}
@@ -66,7 +66,7 @@ class SuffixRules:
                 mask[0] |= 0 if private else kind
                 mask[1] |= kind
         self.depth = max(s.count(".") + 1 for s in masks)
-        self.size = len(masks)
+        self.digest = hashlib.sha256(repr(sorted(masks.items())).encode()).hexdigest()
         self._sides = {
             (column, n): self._side(spark, masks, i, n)
             for i, column in enumerate(("icann", "every"))
@@ -75,15 +75,14 @@ class SuffixRules:
 
     def _side(self, spark: SparkSession, masks: dict, section: int, labels: int) -> DataFrame:
         rows = {s: m[section] for s, m in masks.items() if m[section] and s.count(".") + 1 == labels}
-        side = spark.createDataFrame(
+        return F.broadcast(spark.createDataFrame(
             pa.table(
                 {
                     f"_last{labels}": pa.array(rows, pa.string()),
                     f"_mask{labels}": pa.array(rows.values(), pa.int32()),
                 }
             )
-        )
-        return F.broadcast(side) if self.size <= BROADCAST_RULES else side
+        ))
 
     def of_length(self, labels: int, private: bool) -> DataFrame:
         """``(_last<n>, _mask<n>)``: suffixes of ``labels`` labels, each with its mask."""

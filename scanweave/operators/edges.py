@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from .skew import HeavyKeys, heavy_keys, lookup_join, salt_by, salted_groups
+from .fold import gather_sorted
+from .skew import HeavyKeys, heavy_keys, lookup_join
 
 
 def merge_observations(
@@ -24,6 +25,43 @@ def merge_observations(
     return rows.groupBy(*keys).agg(F.max(flag).alias(flag))
 
 
+def _members(edges: DataFrame, date: str, sets: Iterable[str]) -> list[str]:
+    return [c for c in (date, *sets) if c in edges.columns]
+
+
+def edge_rows(
+    edges: DataFrame,
+    keys: Sequence[str] = ("src", "dst"),
+    *,
+    date: str = "scan_date",
+    sets: Iterable[str] = (),
+    flag: str = "valid",
+) -> DataFrame:
+    """An edge over time in rows: one per edge and date, one per edge and value of each column
+    in ``sets``. All other member columns are null there, ``flag`` is true if ever true.
+
+    One plain hash aggregate over (edge, member): every map task reduces its rows first, and
+    what is left is spread by edge *and* member, so an edge with a third of all rows is
+    many small groups.
+    """
+    members = _members(edges, date, sets)
+    flags = [F.max(flag).alias(flag)] if flag in edges.columns else [F.count(F.lit(1)).alias("_n")]
+    if len(members) < 2:
+        rows = edges.groupBy(*keys, *members).agg(*flags)
+    else:
+        rows = edges.groupingSets([[*keys, m] for m in members], *keys, *members).agg(*flags)
+    return rows.drop("_n")
+
+
+def edge_members(
+    edges: DataFrame, member: str, keys: Sequence[str] = ("src", "dst"), *, flag: str = "valid"
+) -> DataFrame:
+    """``(keys, member, flag)``: one row per edge and value of ``member``, for edges with more
+    values than a list should hold. Null values are left out."""
+    seen = edges.where(F.col(member).isNotNull())
+    return edge_rows(seen.select(*keys, member, *(c for c in [flag] if c in edges.columns)), keys, date=member, flag=flag)
+
+
 def fold_edges(
     edges: DataFrame,
     keys: Sequence[str] = ("src", "dst"),
@@ -31,34 +69,20 @@ def fold_edges(
     date: str = "scan_date",
     sets: Mapping[str, str] | None = None,
     flag: str = "valid",
-    heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """One row per edge over time: sorted ``scan_dates``, the sorted set of each
     column in ``sets`` (old name -> new name), and ``flag`` true if ever true.
 
     Columns that are absent are left out; without a date column the edges are
-    made distinct. Every map task reduces its rows to sets before the shuffle. A
-    pair in ``heavy`` is reduced in pieces first, so that the one task that owns
-    its row in the end only merges a few sets.
+    made distinct. Rows are reduced to ``edge_rows`` by a hash aggregate; the lists are then
+    read off their sorted neighbours, so no aggregate holds sets.
     """
     if date not in edges.columns:
         return edges.select(*keys).distinct()
-    gathered = {date: "scan_dates", **(sets or {})}
-    gathered = {old: new for old, new in gathered.items() if old in edges.columns}
-    flags = [F.max(flag).alias(flag)] if flag in edges.columns else []
-
-    if not heavy:
-        folded = [F.sort_array(F.collect_set(old)).alias(new) for old, new in gathered.items()]
-        rows = edges.groupBy(*keys).agg(*folded, *flags)
-    else:
-        rows = salt_by(edges, heavy, list(gathered)).groupBy(*salted_groups(heavy, keys))
-        rows = rows.agg(*(F.collect_set(old).alias(new) for old, new in gathered.items()), *flags)
-        merged = [
-            F.sort_array(F.array_distinct(F.flatten(F.collect_list(new)))).alias(new)
-            for new in gathered.values()
-        ]
-        rows = rows.groupBy(*keys).agg(*merged, *flags)
-    return rows
+    rows = edge_rows(edges, keys, date=date, sets=sets or (), flag=flag)
+    lists = {date: "scan_dates", **(sets or {})}
+    lists = {old: new for old, new in lists.items() if old in edges.columns}
+    return gather_sorted(rows, keys, lists, [flag] if flag in edges.columns else [])
 
 
 def resolve_endpoints(
@@ -71,28 +95,41 @@ def resolve_endpoints(
     dst_kinds: Sequence[str] = (),
     split_heavy: bool = True,
     rows_per_task: int | None = None,
+    heavy: Mapping[str, HeavyKeys] | None = None,
 ) -> DataFrame:
     """Replace the keys at both ends by their ids, as ``src`` and ``dst``.
 
     Edges with a null key or one without an id are dropped. ``src_kinds`` and
     ``dst_kinds`` name the key prefixes that can occur at an end; the id table is
     sorted by key, so the filter skips the files of all other kinds. ``edges``
-    should be a stored table when ``split_heavy`` is on, see ``heavy_keys``.
+    should be a stored table when ``split_heavy`` is on, see ``heavy_keys``; ``heavy`` has
+    the heavy keys of both ends if they are known.
     """
-    bound = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
-    if split_heavy:
-        bound["total"] = edges.count()
+    if heavy is None:
+        heavy = heavy_ends(edges, (src, dst), rows_per_task=rows_per_task) if split_heavy else {}
     rows = edges.where(F.col(src).isNotNull() & F.col(dst).isNotNull())
     others = [c for c in edges.columns if c not in (src, dst)]
     for end, name, kinds in ((src, "src", src_kinds), (dst, "dst", dst_kinds)):
-        heavy = heavy_keys(edges, [end], **bound) if split_heavy else HeavyKeys((end,))
         table = _of_kinds(ids, kinds).select(
             F.col(ids.columns[0]).alias(end), F.col(ids.columns[1]).alias(name)
         )
-        rows = lookup_join(rows, table, end, heavy).drop(end)
+        rows = lookup_join(rows, table, end, heavy.get(end, HeavyKeys((end,)))).drop(end)
     return rows.select("src", "dst", *others)
 
 
+def heavy_ends(
+    edges: DataFrame,
+    ends: Sequence[str] = ("from", "to"),
+    *,
+    rows_per_task: int | None = None,
+    total: int | None = None,
+) -> dict[str, HeavyKeys]:
+    """The heavy keys at each end of a stored edge table."""
+    bound = {} if rows_per_task is None else {"rows_per_task": rows_per_task}
+    total = edges.count() if total is None else total
+    return {end: heavy_keys(edges, [end], total=total, **bound) for end in ends}
+
+
 def _of_kinds(ids: DataFrame, kinds: Sequence[str]) -> DataFrame:
     if not kinds:
         return ids

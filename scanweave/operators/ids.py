@@ -21,6 +21,7 @@ def assign_ids(
     partitions: int | None = None,
     path: str | None = None,
     resume: bool = False,
+    inputs: str = "",
 ) -> DataFrame:
     """``(key, id)`` for every distinct ``key``: ids run from ``start`` without gaps,
     in byte order of the key, so that runs on equal input agree.
@@ -35,7 +36,7 @@ def assign_ids(
     sort = df.select(key).where(F.col(key).isNotNull()).distinct()
     ranged = sort.repartitionByRange(*([partitions] if partitions else []), key)
     tagged = ranged.sortWithinPartitions(key).withColumn("_tag", F.monotonically_increasing_id())
-    stored = materialize(tagged, path or scratch_dir(spark, "ids"), resume=resume)
+    stored = materialize(tagged, path or scratch_dir(spark, "ids"), resume=resume, inputs=inputs)
 
     part = F.shiftright("_tag", _ROW_BITS)
     counts = stored.groupBy(part.alias("_part")).count().orderBy("_part").collect()

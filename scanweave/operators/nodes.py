@@ -46,9 +46,14 @@ def san_names(certs: DataFrame, names: str = "altNames") -> DataFrame:
 
 
 def cert_nodes(certs: DataFrame) -> DataFrame:
-    """One row per certificate; each attribute is the largest value seen."""
-    attributes = ["subject", "issuer", "notBefore", "notAfter", "numAltNames"]
-    return certs.groupBy("guid", "sha1", "sha256").agg(*(F.max(a).alias(a) for a in attributes))
+    """One row per certificate; each attribute is the largest value seen.
+
+    A certificate looks the same in all its scans: hashing makes its rows one before
+    the maxima, which sort for text, see any.
+    """
+    keys, attributes = ["guid", "sha1", "sha256"], ["subject", "issuer", "notBefore", "notAfter", "numAltNames"]
+    seen = certs.select(*keys, *attributes).distinct()
+    return seen.groupBy(*keys).agg(*(F.max(a).alias(a) for a in attributes))
 
 
 def domain_nodes(names: DataFrame, rules: SuffixRules) -> DataFrame:

@@ -3,27 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from ..workspace import materialize, scratch_dir
 
 ROWS_PER_TASK = 2_000_000
-_SALT = "_salt"
+#: Rows of a key with ``rows_per_task`` rows that the search for candidates sees, on average.
+_SEEN = 200
+_HASH, PIECES, _SALT = "_hash", "_pieces", "_salt"
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Hashes of the heavy keys and the number of pieces to cut each into."""
+    """``table`` has the hash of each heavy key and the pieces to cut it into, by its own
+    weight; ``pieces`` is their total. Keys with so many rows are few: at most one for each
+    ``rows_per_task`` rows of the table they were found in, at 12 bytes each. That bounds what
+    is broadcast: 6 MB for a million million rows."""
 
     columns: tuple[str, ...]
-    hashes: tuple[int, ...] = field(default=())
-    pieces: int = 1
+    table: DataFrame | None = None
+    pieces: int = 0
 
     def __bool__(self) -> bool:
-        return bool(self.hashes)
-
-    def match(self, columns: Sequence[str] | None = None) -> Column:
-        return F.xxhash64(*(columns or self.columns)).isin(*self.hashes)
+        return self.table is not None
 
 
 def heavy_keys(
@@ -35,33 +39,34 @@ def heavy_keys(
 ) -> HeavyKeys:
     """Find every key with more than ``rows_per_task`` rows.
 
-    ``df`` should be a stored table: it is counted (file footers), scanned once for
-    the frequent items, and once more to count just those. ``freqItems`` names every key
-    above the support, here the share that ``rows_per_task`` has of all rows, and at most
-    ``total / rows_per_task`` keys: as many as the table fills tasks. A miss or a hash collision
-    costs balance, never rows.
+    ``df`` should be a stored table: it is counted (file footers), a sample of its keys
+    names candidates, and a second scan counts just those. Nothing is sampled away: the
+    search steers balance, never rows. A small table is not searched at all.
     """
     columns = tuple(columns)
     total = df.count() if total is None else total
     if total <= rows_per_task:
         return HeavyKeys(columns)
-    support = max(rows_per_task / total, 1e-6)
-    hashed = df.dropna(subset=list(columns)).select(F.xxhash64(*columns).alias("key"))
-    candidates = hashed.stat.freqItems(["key"], support).first()[0]
-    if not candidates:
-        return HeavyKeys(columns)
-    heavy = (
-        hashed.where(F.col("key").isin(*candidates))
-        .groupBy("key")
-        .count()
-        .where(F.col("count") > rows_per_task)
-        .collect()
-    )
+    spark = df.sparkSession
+    hashed = df.dropna(subset=list(columns)).select(F.xxhash64(*columns).alias(_HASH))
+    share = min(1.0, _SEEN / rows_per_task)
+    sample = hashed.sample(share, seed=11) if share < 1 else hashed
+    seen = sample.groupBy(_HASH).count().where(F.col("count") >= share * rows_per_task / 2)
+    counts = hashed.join(F.broadcast(seen.select(_HASH)), _HASH, "left_semi").groupBy(_HASH).count()
+    heavy = counts.where(F.col("count") > rows_per_task)
+    heavy = heavy.select(_HASH, F.ceil(F.col("count") / rows_per_task).cast("int").alias(PIECES))
+    heavy = materialize(heavy, scratch_dir(spark, "heavy"))
+    pieces = heavy.agg(F.sum(PIECES)).first()[0]
+    return HeavyKeys(columns, heavy, pieces) if pieces else HeavyKeys(columns)
+
+
+def with_pieces(df: DataFrame, heavy: HeavyKeys) -> DataFrame:
+    """Add the number of pieces of the row's key, null unless it is heavy. Rows stay where
+    they are: the table of heavy keys is broadcast."""
     if not heavy:
-        return HeavyKeys(columns)
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = -(-max(row["count"] for row in heavy) // rows_per_task)
-    return HeavyKeys(columns, tuple(r["key"] for r in heavy), max(2, min(pieces, tasks)))
+        return df.withColumn(PIECES, F.lit(None).cast("int"))
+    keyed = df.withColumn(_HASH, F.xxhash64(*heavy.columns))
+    return keyed.join(F.broadcast(heavy.table), _HASH, "left").drop(_HASH)
 
 
 def salt_by(df: DataFrame, heavy: HeavyKeys, spread: Sequence[str]) -> DataFrame:
@@ -70,8 +75,8 @@ def salt_by(df: DataFrame, heavy: HeavyKeys, spread: Sequence[str]) -> DataFrame
     The salt is a hash of the row, not a random number: a task that is run again
     after a lost executor puts every row where it was before.
     """
-    piece = F.pmod(F.xxhash64(*spread), F.lit(heavy.pieces)).cast("int")
-    return df.withColumn(_SALT, F.when(heavy.match(), piece).otherwise(0))
+    piece = F.pmod(F.xxhash64(*spread), F.col(PIECES)).cast("int")
+    return with_pieces(df, heavy).withColumn(_SALT, F.coalesce(piece, F.lit(0))).drop(PIECES)
 
 
 def lookup_join(
@@ -79,17 +84,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``rows`` with a ``table`` that has one row per ``key``.
 
-    Rows of heavy keys are spread over many tasks; only the few table rows of
-    those keys are copied to all of the tasks.
+    Rows of heavy keys are spread over many tasks, each key over as many as its own rows
+    need; only the few table rows of those keys are copied, once for each piece.
     """
     if not heavy:
         return rows.join(table, on=key, how=how)
     spread = [c for c in rows.columns if c != key] or [key]
-    pieces = F.sequence(F.lit(0), F.lit(heavy.pieces - 1))
-    copies = F.when(heavy.match(), pieces).otherwise(F.array(F.lit(0)))
-    salted = table.withColumn(_SALT, F.explode(copies))
+    pieces = F.sequence(F.lit(0), F.col(PIECES) - 1)
+    copies = F.when(F.col(PIECES).isNotNull(), pieces).otherwise(F.array(F.lit(0)))
+    salted = with_pieces(table, heavy).withColumn(_SALT, F.explode(copies)).drop(PIECES)
     return salt_by(rows, heavy, spread).join(salted, on=[key, _SALT], how=how).drop(_SALT)
-
-
-def salted_groups(heavy: HeavyKeys, keys: Sequence[str]) -> list[str]:
-    return [*keys, _SALT] if heavy else list(keys)

@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.suffix import SuffixRules, with_redirect_host
 from ..functions.text import quote_url
+from ..operators.cluster import cluster_by_id
 from ..operators.degrees import attach_degrees, degrees
-from ..operators.edges import fold_edges, resolve_endpoints, reverse_valid, semi_edges
+from ..operators.edges import (
+    edge_members,
+    fold_edges,
+    heavy_ends,
+    resolve_endpoints,
+    reverse_valid,
+    semi_edges,
+)
 from ..operators.ids import assign_ids
 from ..operators.nodes import (
     CERT,
@@ -24,12 +34,12 @@ from ..operators.nodes import (
     san_names,
     valid_certs,
 )
-from ..operators.skew import heavy_keys
+from ..operators.skew import PIECES, HeavyKeys, heavy_keys, with_pieces
 from ..schemas import GRAPH_COLUMNS
 from ..sinks.graph import write_graph_table
 from ..sources.files import clean_names
 from ..sources.snapshots import ingest_scans, read_snapshot
-from ..workspace import materialize, scratch_dir
+from ..workspace import fingerprint, is_current, materialize, scratch_dir
 
 VERTICES = ("certs", "domains", "ip_addresses")
 EDGES = (
@@ -68,6 +78,47 @@ def redirect_observations(
     )
 
 
+#: Which scan tables each stored step is made from; all others depend on all.
+_MADE_FROM = {
+    "alt_names": ("certs",),
+    "redirect_hosts": ("http",),
+    "redirect_observations": ("http", "hosts"),
+    "returns_keys": ("hosts",),
+    "resolves_keys": ("hosts", "dns"),
+    "contains_keys": ("certs",),
+    "redirects_keys": ("http", "hosts"),
+}
+_MEMBERS = {"returns": ("sni", "server_name_indicator"), "redirects": ("location", "location")}
+
+
+class _Steps:
+    """Stored steps of one run: where they lie, what they were made from, how many rows they have."""
+
+    def __init__(self, spark: SparkSession, scans: Mapping[str, DataFrame], options: str, *, resume: bool, kept: bool):
+        self.spark, self.resume = spark, resume
+        # Steps in a folder of this run alone are not looked at again.
+        self.prints = {n: fingerprint(df) for n, df in scans.items()} if kept else {}
+        self.options, self.rows = options, {}
+
+    def inputs(self, name: str) -> str:
+        if not self.prints:
+            return ""
+        text = "\n".join([self.options, *(self.prints[n] for n in _MADE_FROM.get(name, sorted(self.prints)))])
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def store(self, name: str, df: DataFrame, path: str) -> DataFrame:
+        """Write a step and count its rows on the way; a current one is read and counted."""
+        inputs = self.inputs(name)
+        if self.resume and is_current(self.spark, path, inputs):
+            table = materialize(df, path, resume=True, inputs=inputs)
+            self.rows[name] = table.count()
+            return table
+        counted = Observation()
+        table = materialize(df.observe(counted, F.count(F.lit(1)).alias("rows")), path, inputs=inputs)
+        self.rows[name] = counted.get.get("rows") or 0
+        return table
+
+
 def build_graph(
     hosts: DataFrame,
     http: DataFrame,
@@ -81,30 +132,27 @@ def build_graph(
     partitions: int | None = None,
     cluster: bool = True,
     resume: bool = False,
+    members: bool = False,
 ) -> dict[str, DataFrame]:
     """Write the eleven tables below ``out`` as Parquet and return scans of them.
 
     Steps that feed several others are stored in ``work`` (by default a folder
-    in the checkpoint directory). With ``resume`` and the same folders, steps a
-    former run has finished are read instead of computed. ``cluster`` sorts the
-    output files by id ranges; to find the ranges, the last join of a table runs
-    once more over its shuffled input.
+    in the checkpoint directory). With ``resume`` and the same folders, a step that a
+    former run has finished is read instead of computed if its scan tables are as they were.
+    ``cluster`` lays the files out by id: their place is computed from the dense ids, so
+    every join runs once. ``members`` adds the tables ``returns_members`` and
+    ``redirects_members``, one row per edge and name or location, for edges whose lists
+    would be too long. The rows of every stage are counted, see ``read_counters``.
     """
     spark = hosts.sparkSession
     rules = rules or SuffixRules(spark)
+    scans = {"hosts": hosts, "http": http, "certs": certs, "dns": dns}
+    kept = resume or work is not None
+    steps = _Steps(spark, scans, f"{match_source} {rules.digest}", resume=resume, kept=kept)
     work = work or scratch_dir(spark, "graph")
 
     def step(name: str, df: DataFrame) -> DataFrame:
-        return materialize(df, f"{work}/{name}", resume=resume)
-
-    def save(name: str, df: DataFrame, by: Sequence[str]) -> DataFrame:
-        return materialize(
-            df,
-            f"{out}/{name}",
-            range_by=by if cluster else (),
-            partitions=partitions,
-            resume=resume,
-        )
+        return steps.store(name, df, f"{work}/{name}")
 
     hosts = clean_names(hosts, "server_name")
     dns = clean_names(dns, "domain")
@@ -127,8 +175,20 @@ def build_graph(
     addresses = ip_nodes(hosts.select("ip"), dns.select("ip"), san.select("ip"))
     keys = [certs.select("guid"), domains.select("guid"), addresses.select("guid")]
     ids = assign_ids(
-        reduce(DataFrame.union, keys), partitions=partitions, path=f"{work}/ids", resume=resume
+        reduce(DataFrame.union, keys),
+        partitions=partitions,
+        path=f"{work}/ids",
+        resume=resume,
+        inputs=steps.inputs("ids"),
     )
+    n_ids = steps.rows["ids"] = ids.count()
+
+    def save(name: str, df: DataFrame, by: str, then: str | None, total: int, hub_pieces: int = 0) -> DataFrame:
+        if cluster:
+            df = cluster_by_id(df, by, ids=n_ids, total=total, then=then, hub_pieces=hub_pieces, partitions=partitions)
+        elif partitions:
+            df = df.drop(PIECES).repartition(partitions)
+        return steps.store(name, df.drop(PIECES), f"{out}/{name}")
 
     observed = {
         "returns": hosts.select(
@@ -166,46 +226,70 @@ def build_graph(
         "redirects": ([DOMAIN], [DOMAIN]),
         "subdomain_of": ([DOMAIN], [DOMAIN]),
     }
+
+    def numbered_edges(name: str, folded: DataFrame, saved_as: str) -> DataFrame:
+        """A stored table of edges between keys, as one between ids."""
+        total = steps.rows[f"{saved_as}_keys"]
+        heavy = heavy_ends(folded, total=total)
+        hubs = heavy["from"] if cluster else HeavyKeys(("from",))
+        rows = with_pieces(folded, hubs) if hubs else folded
+        edges = resolve_endpoints(rows, ids, src_kinds=ends[name][0], dst_kinds=ends[name][1], heavy=heavy)
+        order = [*_properties(edges), *([PIECES] if hubs else [])]
+        return save(saved_as, edges.select("src", "dst", *order), "src", "dst", total, hubs.pieces)
+
     tables: dict[str, DataFrame] = {}
     for name, seen in observed.items():
         seen = seen.where(F.col("from").isNotNull() & F.col("to").isNotNull())
-        if name == "redirects":
-            seen = step("redirect_observations", seen)
-        dated = "scan_date" in seen.columns
-        heavy = heavy_keys(seen, ["from", "to"]) if dated else None
+        if members and name in _MEMBERS:
+            old, new = _MEMBERS[name]
+            seen = step(f"{name}_observations", seen)
+            rows = edge_members(seen, old, ("from", "to")).withColumnRenamed(old, new)
+            numbered_edges(name, step(f"{name}_members_keys", rows), f"{name}_members")
         # Keys and ids correspond one to one: folding first makes the joins smaller.
-        folded = step(f"{name}_keys", fold_edges(seen, ("from", "to"), sets=sets, heavy=heavy))
-        edges = resolve_endpoints(folded, ids, src_kinds=ends[name][0], dst_kinds=ends[name][1])
-        tables[name] = save(name, edges.select("src", "dst", *_properties(edges)), ["src", "dst"])
+        folded = step(f"{name}_keys", fold_edges(seen, ("from", "to"), sets=sets))
+        tables[name] = numbered_edges(name, folded, name)
 
     derived = {
-        "subject_to": semi_edges(tables["contains"], tables["returns"]),
-        "assigned_to": reverse_valid(tables["returns"]),
-        "serves": reverse_valid(tables["resolves"]),
+        "subject_to": ("contains", lambda: semi_edges(tables["contains"], tables["returns"])),
+        "assigned_to": ("returns", lambda: reverse_valid(tables["returns"])),
+        "serves": ("resolves", lambda: reverse_valid(tables["resolves"])),
     }
-    for name, edges in derived.items():
-        tables[name] = save(name, edges, ["src", "dst"])
+    for name, (origin, edges) in derived.items():
+        total = steps.rows[origin]
+        hubs = heavy_keys(tables[origin], ["dst"], total=total) if cluster else HeavyKeys(("dst",))
+        hubs = replace(hubs, columns=("src",))  # turned round, its target is the source
+        rows = with_pieces(edges(), hubs) if hubs else edges()
+        tables[name] = save(name, rows, "src", "dst", total, hubs.pieces)
 
     # The id table is the vertex table of names and addresses: their key holds
-    # all there is. Only certificates have attributes to join.
+    # all there is. Ids follow the keys, so each kind is one stretch of it, and what is
+    # read from it is laid out by id already. Only certificates have attributes to join.
     numbered = attach_degrees(ids, degrees(*(tables[name] for name in EDGES)))
-    numbered = materialize(numbered, f"{work}/numbered", range_by=["guid"], resume=resume)
+    numbered = cluster_by_id(numbered, "id", ids=n_ids, total=n_ids, partitions=partitions)
+    numbered = step("numbered", numbered)
     metrics = ["inDegree", "outDegree"]
     of_certs = numbered.where(F.col("guid").startswith(CERT))
     rows = cert_nodes(certs)
     columns = [c for c in rows.columns if c != "guid"]
-    tables["certs"] = save(
-        "certs", rows.join(of_certs, on="guid").select("id", *columns, *metrics), ["id"]
-    )
+    rows = rows.join(of_certs, on="guid").select("id", *columns, *metrics)
+    tables["certs"] = save("certs", rows, "id", None, n_ids)
     for name, kind, column in (("domains", DOMAIN, "domain_name"), ("ip_addresses", IP, "ip")):
         part = numbered.where(F.col("guid").startswith(kind))
         value = F.substr(F.col("guid"), F.lit(len(kind) + 1))
-        tables[name] = save(name, part.select("id", value.alias(column), *metrics), ["id"])
+        part = part.select("id", value.alias(column), *metrics)
+        tables[name] = steps.store(f"{name}_table", part, f"{out}/{name}")
+    counters = spark.createDataFrame(sorted(steps.rows.items()), "stage string, n_rows long")
+    counters.coalesce(1).write.mode("overwrite").parquet(f"{out}/counters")
     return tables
 
 
+def read_counters(spark: SparkSession, out: str) -> DataFrame:
+    """``(stage, n_rows)``: the rows of every stored step and table of the graph below ``out``."""
+    return spark.read.parquet(f"{out}/counters")
+
+
 def _properties(edges: DataFrame) -> list[str]:
-    order = ["scan_dates", "server_name_indicators", "valid", "locations"]
+    order = ["scan_dates", "server_name_indicator", "server_name_indicators", "location", "valid", "locations"]
     return [c for c in order if c in edges.columns]
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -62,6 +63,44 @@ def partition_values(spark: SparkSession, table: str, names: Sequence[str]) -> l
     return values
 
 
+def fingerprint(df: DataFrame) -> str:
+    """Changes when the rows of ``df`` may have changed: names, sizes and times of all files in
+    the folders it reads, together with its plan. Rows without files are hashed themselves.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().optimizedPlan().canonicalized().toString()
+    folders = sorted({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+    if folders:
+        listed = spark.read.format("binaryFile").load(folders)
+        rows = listed.select(F.xxhash64("path", "length", "modificationTime").alias("h"))
+    else:
+        rows = df.select(F.xxhash64(*df.columns).alias("h"))
+    found = rows.agg(F.count(F.lit(1)), F.sum(F.col("h").cast("decimal(20,0)"))).first()
+    text = "\n".join([plan, *folders, *map(str, found)])
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _marker(spark: SparkSession, path: str):
+    return _filesystem(spark, f"{path}/_inputs")
+
+
+def made_from(spark: SparkSession, path: str) -> str:
+    """What ``materialize`` noted beside a table about the inputs it was made from."""
+    fs, target = _marker(spark, path)
+    if not fs.exists(target):
+        return ""
+    lines = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(fs.open(target), "UTF-8"))
+    try:
+        return lines.readLine() or ""
+    finally:
+        lines.close()
+
+
+def is_current(spark: SparkSession, path: str, inputs: str = "") -> bool:
+    """True for a finished table that was made from ``inputs``."""
+    return is_complete(spark, path) and made_from(spark, path) == inputs
+
+
 def materialize(
     df: DataFrame,
     path: str,
@@ -70,14 +109,16 @@ def materialize(
     partitions: int | None = None,
     partition_by: Sequence[str] = (),
     resume: bool = False,
+    inputs: str = "",
 ) -> DataFrame:
     """Write ``df`` as Parquet and return a scan of it, which cuts the lineage.
 
-    With ``resume`` a table finished by an earlier run is read, not computed.
-    ``range_by`` clusters rows so that file statistics prune later filters.
+    With ``resume`` a table that an earlier run has finished from the same ``inputs`` (any
+    text, such as ``fingerprint`` gives) is read, not computed. ``range_by`` clusters rows so
+    that file statistics prune later filters.
     """
     spark = df.sparkSession
-    if not (resume and is_complete(spark, path)):
+    if not (resume and is_current(spark, path, inputs)):
         out = df
         if range_by:
             out = out.repartitionByRange(*([partitions] if partitions else []), *range_by)
@@ -87,4 +128,9 @@ def materialize(
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
+        if inputs:
+            fs, target = _marker(spark, path)
+            note = fs.create(target, True)
+            note.writeBytes(f"{inputs}\n")
+            note.close()
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from scanweave.plans.graph import EDGES, VERTICES, build_graph
+from scanweave.plans.graph import EDGES, VERTICES, build_graph, read_counters
 from scanweave.sinks.graph import export_csv, graph_header
 
 D1, D2 = "2023-05-30", "2023-06-06"
@@ -149,13 +149,52 @@ def test_sources_can_match_each_other(spark, scans, rules, tmp_path):
     }
 
 
-def test_resume_reads_what_is_done(spark, scans, rules, tmp_path):
+def texts_of(tables):
+    return {n: sorted(map(str, t.collect())) for n, t in tables.items()}
+
+
+def written(spark, folder):
+    files = spark.read.format("binaryFile").load(f"{folder}/*").where("path NOT LIKE '%/counters/%'")
+    return {r.path for r in files.select("path").collect() if "part-" in r.path}
+
+
+def test_resume_looks_at_its_input(spark, scans, rules, tmp_path):
+    store = {n: t.write.parquet(str(tmp_path / n)) or spark.read.parquet(str(tmp_path / n)) for n, t in scans.items()}
     folders = {"out": str(tmp_path / "out"), "work": str(tmp_path / "work")}
-    first = build_graph(**scans, **folders, rules=rules)
-    want = {n: sorted(map(str, t.collect())) for n, t in first.items()}
+    first = texts_of(build_graph(**store, **folders, rules=rules))
+    steps, tables = written(spark, folders["work"]), written(spark, folders["out"])
+    assert texts_of(build_graph(**store, **folders, rules=rules, resume=True)) == first
+    assert written(spark, folders["work"]) == steps and written(spark, folders["out"]) == tables
+    # One more DNS scan: what does not depend on it stays, the graph is the new one.
+    scans["dns"].selectExpr("concat('new.', domain) AS domain", "ip", "scan_date").write.mode("append").parquet(str(tmp_path / "dns"))
+    store["dns"] = spark.read.parquet(str(tmp_path / "dns"))
+    again = texts_of(build_graph(**store, **folders, rules=rules, resume=True))
+    assert again == texts_of(build_graph(**store, out=str(tmp_path / "fresh"), rules=rules)) != first
+    kept = {p.split("/")[-2] for p in written(spark, folders["work"]) & steps}
+    assert kept >= {"alt_names", "redirect_hosts", "returns_keys"} and not kept & {"resolves_keys", "ids"}
     nothing = {n: t.limit(0) for n, t in scans.items()}
-    again = build_graph(**nothing, **folders, rules=rules, resume=True)
-    assert {n: sorted(map(str, t.collect())) for n, t in again.items()} == want
+    assert not any(texts_of(build_graph(**nothing, **folders, rules=rules, resume=True)).values())
+
+
+def test_layout_and_members_do_not_change_the_graph(spark, scans, rules, graph, tmp_path):
+    plain = texts_of(graph)
+    for k, options in enumerate(({"cluster": False}, {"partitions": 3}, {"members": True})):
+        tables = build_graph(**scans, out=str(tmp_path / str(k)), rules=rules, **options)
+        assert texts_of(tables) == plain
+    members = spark.read.parquet(str(tmp_path / "2" / "returns_members"))
+    lists = graph["returns"].selectExpr("src", "dst", "explode(server_name_indicators) AS server_name_indicator", "valid")
+    assert members.columns == lists.columns
+    assert {tuple(r)[:3] for r in members.collect()} == {tuple(r)[:3] for r in lists.collect()}
+    moved = spark.read.parquet(str(tmp_path / "2" / "redirects_members"))
+    assert moved.columns == ["src", "dst", "location", "valid"] and moved.count() == 1
+
+
+def test_counters(spark, scans, rules, tmp_path):
+    tables = build_graph(**scans, out=str(tmp_path), rules=rules)
+    counted = dict(map(tuple, read_counters(spark, str(tmp_path)).collect()))
+    names = {"domains": "domains_table", "ip_addresses": "ip_addresses_table"}
+    assert {n: counted[names.get(n, n)] for n in tables} == {n: t.count() for n, t in tables.items()}
+    assert counted["ids"] == counted["numbered"] == 12 and counted["returns_keys"] == 3
 
 
 def read_export(path):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scanweave.operators.degrees import attach_degrees, degrees, number_vertices
 from scanweave.operators.edges import (
+    edge_members,
     fold_edges,
     merge_observations,
     resolve_endpoints,
@@ -16,7 +17,8 @@ from scanweave.operators.edges import (
     semi_edges,
 )
 from scanweave.operators.ids import assign_ids
-from scanweave.operators.skew import HeavyKeys, heavy_keys, lookup_join
+from scanweave.operators.cluster import cluster_by_id
+from scanweave.operators.skew import HeavyKeys, heavy_keys, lookup_join, salt_by, with_pieces
 from scanweave.workspace import checkpoint_root, is_complete, materialize, scratch_dir
 
 
@@ -68,9 +70,9 @@ def hub(spark):
 
 def test_heavy_keys(spark, hub):
     heavy = heavy_keys(hub, ["to"], rows_per_task=1000)
-    (key,) = heavy.hashes
+    ((key, pieces),) = heavy.table.collect()
     assert key == spark.range(1).select(F.xxhash64(F.lit("t0"))).first()[0]
-    assert heavy.pieces == 4
+    assert pieces == heavy.pieces == 4
     assert not heavy_keys(hub, ["to"], rows_per_task=5000)
     assert not heavy_keys(hub, ["to"])
 
@@ -87,13 +89,37 @@ def test_salted_join_equals_the_plain_one(spark, hub, how):
 
 
 def test_salt_spreads_the_heavy_key(spark, hub):
-    from scanweave.operators.skew import salt_by
-
     heavy = heavy_keys(hub, ["to"], rows_per_task=1000)
     pieces = salt_by(hub, heavy, ["from", "n"]).where(F.col("to") == "t0").groupBy("_salt").count().collect()
     assert len(pieces) == heavy.pieces and max(r["count"] for r in pieces) < 1200
 
 
+def test_heavy_keys_have_pieces_of_their_own(spark):
+    ends = F.when(F.col("id") < 7000, "a").when(F.col("id") < 9500, "b").otherwise(F.concat(F.lit("c"), F.col("id")))
+    edges = spark.range(10_000).select(ends.alias("to"), F.col("id").alias("n"))
+    heavy = heavy_keys(edges, ["to"], rows_per_task=1000)
+    names = {r[0]: r[1] for r in spark.createDataFrame([("a",), ("b",)], "to string").select(F.xxhash64("to"), "to").collect()}
+    assert {names[h]: n for h, n in heavy.table.collect()} == {"a": 7, "b": 3} and heavy.pieces == 10
+    cut = rows(salt_by(edges, heavy, ["n"]).groupBy("to").agg(F.countDistinct("_salt")).where("to < 'c'"))
+    assert cut == Counter([("a", 7), ("b", 3)])
+    table = edges.select("to").distinct().withColumn("x", F.length("to"))
+    assert rows(lookup_join(edges, table, "to", heavy)) == rows(edges.join(table, "to"))
+
+
+@pytest.mark.parametrize("hubs", [False, True])
+def test_cluster_by_id(spark, hubs):
+    edges = spark.range(10_000).select(F.when(F.col("id") < 4000, 3).otherwise(F.col("id") % 100).alias("src"), F.col("id").alias("dst"))
+    heavy = heavy_keys(edges, ["src"], rows_per_task=1000) if hubs else HeavyKeys(("src",))
+    dealt = with_pieces(edges, heavy) if hubs else edges
+    dealt = cluster_by_id(dealt, "src", ids=100, total=10_000, then="dst", partitions=5, hub_pieces=heavy.pieces)
+    assert dealt.columns == edges.columns and rows(dealt) == rows(edges)
+    at = dealt.withColumn("p", F.spark_partition_id()).groupBy("p").agg(F.min("src"), F.max("src"), F.count("*")).collect()
+    for p, low, high, n in at:
+        assert (20 * p <= low and high < 20 * p + 20) if p < 5 else low == high == 3 and n < 3000
+    assert max(r[3] for r in at) < (3000 if hubs else 6000)
+    assert "RoundRobin" not in plan(dealt) and "rangepartitioning" not in plan(dealt)
+
+
 def test_resolve_with_heavy_ends(spark, hub):
     keys = hub.select(F.col("from").alias("guid")).union(hub.select("to")).where(F.col("guid") != "t7")
     ids = assign_ids(keys)
@@ -113,8 +139,9 @@ def test_resolve_drops_null_and_unknown_ends(spark):
     assert rows(resolve_endpoints(edges, ids)) == Counter([(0, 1, 1), (1, 1, 5)])
 
 
-@pytest.mark.parametrize("salted", [False, True])
-def test_fold(spark, salted):
+@pytest.mark.parametrize("batch", [10_000, 7])
+def test_fold(spark, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     pick = random.Random(5)
     days = [date(2024, 1, d) for d in range(1, 6)] + [None]
     data = [
@@ -125,9 +152,7 @@ def test_fold(spark, salted):
         spark.createDataFrame(data, "src bigint, dst bigint, scan_date date, sni string, valid boolean"),
         scratch_dir(spark, "fold"),
     )
-    heavy = heavy_keys(edges, ["src", "dst"], rows_per_task=100) if salted else None
-    assert bool(heavy) is salted
-    got = fold_edges(edges, sets={"sni": "server_name_indicators"}, heavy=heavy)
+    got = fold_edges(edges, sets={"sni": "server_name_indicators"})
     assert got.columns == ["src", "dst", "scan_dates", "server_name_indicators", "valid"]
     want = {}
     for src, dst, day, sni, valid in data:
@@ -139,6 +164,10 @@ def test_fold(spark, salted):
         assert r.server_name_indicators == sorted(names - {None})
         assert r.valid is (True if True in flags else False if False in flags else None)
     assert not want
+    names = {(s, n): [v for a, _, _, b, v in data if (a, b) == (s, n)] for s, _, _, n, _ in data if n}
+    best = lambda v: True if True in v else False if False in v else None
+    assert rows(edge_members(edges, "sni")) == Counter((s, 9, n, best(v)) for (s, n), v in names.items())
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_fold_without_dates_is_distinct(spark):
@@ -190,8 +219,13 @@ def test_vertices(spark):
 def test_one_shuffle_per_operator(spark, hub):
     edges = hub.select(F.hash("from").cast("long").alias("src"), F.hash("to").cast("long").alias("dst"))
     assert plan(degrees(edges, edges)).count("Exchange") == 1
-    dated = hub.withColumn("scan_date", F.lit("d"))
-    assert plan(fold_edges(dated, ("from", "to"))).count("Exchange") == 1
+
+
+def test_fold_is_hashed_then_sorted(spark, hub):
+    dated = hub.withColumns({"scan_date": F.lit("d"), "sni": F.col("to")})
+    shown = plan(fold_edges(dated, ("from", "to"), sets={"sni": "names"}))
+    assert "ObjectHashAggregate" not in shown and "SortAggregate" not in shown
+    assert shown.count("HashAggregate") == 2 and shown.count("Exchange") == 2
 
 
 def test_workspace(spark, tmp_path):
