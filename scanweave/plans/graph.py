@@ -54,6 +54,43 @@ EDGES = (
 )
 
 
+def returns_observations(hosts: DataFrame) -> DataFrame:
+    """``(from, to, valid, sni, scan_date)``: an address presented a certificate."""
+    return hosts.select(
+        entity_key(IP, F.col("ip")).alias("from"),
+        entity_key(CERT, F.col("cert_hash")).alias("to"),
+        (F.col("cert_valid") == 1).alias("valid"),
+        F.col("server_name").alias("sni"),
+        "scan_date",
+    )
+
+
+def resolves_observations(hosts: DataFrame, dns: DataFrame) -> DataFrame:
+    """``(from, to, valid, scan_date)``: a name led to an address, in a TLS scan or in the DNS.
+
+    Only TLS scans know of validity. Folding takes the maximum of the flag over all dates,
+    which is the maximum of the maxima per date: one aggregation does for both.
+    """
+    address = entity_key(IP, F.col("ip")).alias("to")
+    seen = hosts.select(
+        entity_key(DOMAIN, F.col("server_name")).alias("from"),
+        address,
+        (F.col("cert_valid") == 1).alias("valid"),
+        "scan_date",
+    )
+    named = dns.select(entity_key(DOMAIN, F.col("domain")).alias("from"), address, "scan_date")
+    return seen.unionByName(named, allowMissingColumns=True)
+
+
+def contains_observations(san: DataFrame) -> DataFrame:
+    """``(from, to)``: a certificate is made out to a name or an address."""
+    address = entity_key(IP, F.col("ip"))
+    return san.select(
+        F.col("guid").alias("from"),
+        F.coalesce(entity_key(DOMAIN, F.col("domain_name")), address).alias("to"),
+    )
+
+
 def redirect_observations(
     http: DataFrame, hosts: DataFrame, *, match_source: bool = True
 ) -> DataFrame:
@@ -68,7 +105,7 @@ def redirect_observations(
     keys = ["scan_date", *(origin if match_source else ()), "id"]
     left = http.where(F.col("redirect_host").isNotNull()).select(*keys, "Location", "redirect_host")
     right = hosts.where(F.col("server_name").isNotNull()).select(*keys, "server_name", "cert_valid")
-    left = left.withColumn("id", F.expr("try_cast(id AS int)"))
+    left = left.withColumn("id", F.col("id").try_cast(right.schema["id"].dataType))
     return left.join(right, on=keys).select(
         entity_key(DOMAIN, F.col("server_name")).alias("from"),
         entity_key(DOMAIN, F.col("redirect_host")).alias("to"),
@@ -157,9 +194,6 @@ def build_graph(
     hosts = clean_names(hosts, "server_name")
     dns = clean_names(dns, "domain")
     certs = valid_certs(certs)
-    known = F.col("cert_valid") == 1
-    address = entity_key(IP, F.col("ip"))
-
     san = step("alt_names", san_names(certs))
     located = http.where(F.col("Location").isNotNull())
     located = with_redirect_host(located, F.col("Location"), rules)
@@ -191,30 +225,9 @@ def build_graph(
         return steps.store(name, df.drop(PIECES), f"{out}/{name}")
 
     observed = {
-        "returns": hosts.select(
-            address.alias("from"),
-            entity_key(CERT, F.col("cert_hash")).alias("to"),
-            known.alias("valid"),
-            F.col("server_name").alias("sni"),
-            "scan_date",
-        ),
-        # Folding takes the maximum of the flag over all dates, which is the
-        # maximum of the maxima per date: one aggregation does for both.
-        "resolves": hosts.select(
-            entity_key(DOMAIN, F.col("server_name")).alias("from"),
-            address.alias("to"),
-            known.alias("valid"),
-            "scan_date",
-        ).unionByName(
-            dns.select(
-                entity_key(DOMAIN, F.col("domain")).alias("from"), address.alias("to"), "scan_date"
-            ),
-            allowMissingColumns=True,
-        ),
-        "contains": san.select(
-            F.col("guid").alias("from"),
-            F.coalesce(entity_key(DOMAIN, F.col("domain_name")), address).alias("to"),
-        ),
+        "returns": returns_observations(hosts),
+        "resolves": resolves_observations(hosts, dns),
+        "contains": contains_observations(san),
         "redirects": redirect_observations(located, hosts, match_source=match_source),
         "subdomain_of": parent_edges(domains),
     }
