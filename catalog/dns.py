@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from scanweave.operators.dns import answer_errors, flatten_answers, resolve_cnames
+from scanweave.operators.dns import answer_errors, flatten_answers, long_aliases, resolve_cnames
 from scanweave.sinks.graph import write_dns_pairs
 from scanweave.sources.files import (
     list_files,
@@ -78,16 +78,16 @@ def dns_answers(spark, folder):
 
 
 def dns_paths(spark, folder):
-    return resolve_cnames(usable_records(_records(spark, folder)), keep=["name", "scan_date"]).drop("name")
+    return resolve_cnames(usable_records(_records(spark, folder)), keep=["name", "scan_date"], bag=True).drop("name")
 
 
 def dns_pairs(spark, folder):
-    rows = resolve_cnames(usable_records(_records(spark, folder)), keep=["name"], bag=False)
+    rows = resolve_cnames(usable_records(_records(spark, folder)), keep=["name"])
     return rows.select(F.col("name").alias("record"), "ip", "domain", "type")
 
 
 def dns_pair_files(spark, folder):
-    pairs = resolve_cnames(usable_records(_records(spark, folder)), keep=["scan_date"], bag=False)
+    pairs = resolve_cnames(usable_records(_records(spark, folder)), keep=["scan_date"])
     path = scratch_dir(spark, "pairs")
     write_dns_pairs(pairs, path)
     return _typed_pairs(spark, path).groupBy("ip", "domain", "scan_date", "type").agg(
@@ -111,7 +111,37 @@ def dns_errors(spark, folder):
     return bad.unionByName(answer_errors(usable_records(records), keep=["scan_date"]))
 
 
+# Five names of a record are aliases of each other, all twenty pairs; the last has an address.
+_MESH = """concat(flatten(transform(sequence(0, 4), i -> transform(filter(sequence(0, 4), j -> j <> i),
+    j -> named_struct('name', concat('x', i), 'type', 'CNAME', 'data', concat('x', j))))),
+    array(named_struct('name', 'x4', 'type', 'A', 'data', concat('10.0.0.', c_custkey % 200)))) AS answers"""
+
+
+def cname_bounded(spark, folder):
+    """Paths of up to two aliases in a dense mesh, and where longer ones are cut off."""
+    records = table(spark, folder, "customer").selectExpr("c_custkey AS record", _MESH)
+    pairs = resolve_cnames(records, keep=["record"], bag=True, max_hops=2)
+    pairs = pairs.groupBy("record", "ip", "domain").agg(F.count(F.lit(1)).alias("paths"))
+    cut = long_aliases(records, keep=["record"], bag=True, max_hops=2)
+    return pairs.withColumns({"reason": F.lit(None).cast("string"), "payload": F.lit(None).cast("string")}).unionByName(
+        cut, allowMissingColumns=True
+    )
+
+
 CATALOG = {
+    "cname_bounded": (
+        cname_bounded,
+        """WITH RECURSIVE paths AS (
+          SELECT c_custkey AS record, concat('10.0.0.', c_custkey % 200) AS ip, i AS root, j AS cur, [i, j] AS seen, 1 AS hops
+          FROM customer, range(5) a(i), range(5) b(j) WHERE i <> j
+          UNION ALL SELECT record, ip, root, j, list_append(seen, j), hops + 1 FROM paths, range(5) b(j)
+          WHERE hops < 3 AND NOT list_contains(seen, j))
+        SELECT record, ip, concat('x', root) AS domain, count(*) AS paths, NULL AS reason, NULL AS payload
+        FROM paths WHERE hops < 3 AND cur = 4 GROUP BY record, ip, root
+        UNION ALL SELECT c_custkey, concat('10.0.0.', c_custkey % 200), 'x4', 1, NULL, NULL FROM customer
+        UNION ALL SELECT DISTINCT record, NULL, NULL, NULL::BIGINT, 'alias path too long',
+          concat('{"root":"x', root, '","name":"x', cur, '"}') FROM paths WHERE hops = 3""",
+    ),
     "dns_flatten": (
         dns_answers,
         f"WITH RECURSIVE {_USABLE} SELECT DATE '2024-01-02' AS scan_date, ip, domain, type FROM direct",

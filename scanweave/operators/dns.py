@@ -47,27 +47,24 @@ def flatten_answers(
 
 
 def resolve_cnames(
-    records: DataFrame, answers: str = "answers", keep: Sequence[str] = (), *, bag: bool = True
+    records: DataFrame,
+    answers: str = "answers",
+    keep: Sequence[str] = (),
+    *,
+    bag: bool = False,
+    max_hops: int | None = None,
 ) -> DataFrame:
     """``(ip, domain, type)``: address answers, and for every alias the addresses
     that its owner reaches over aliases of the same record.
 
-    All work is array work within the row, nothing is shuffled. As a ``bag``, an
+    All work is array work within the row, nothing is shuffled. Every pair of a record
+    comes once, and each owner's names are searched breadth first. As a ``bag``, an
     address comes once per loop-free alias path to it, so a record whose aliases
-    form a dense mesh yields as many rows as it has paths. With ``bag=False``
-    every pair of a record comes once, and each owner's names are searched breadth first.
+    form a dense mesh yields as many rows as it has paths. ``max_hops`` bounds the aliases
+    of a path; what lies beyond is found by ``long_aliases``.
     """
-    rows = records.where(F.size(answers) > 0)
-    rows = rows.select(*keep, _clean(F.col(answers)).alias("_answers"))
-    rows = rows.withColumns(
-        {
-            "_hosts": _addresses(F.col("_answers")),
-            "_alias": F.filter("_answers", lambda a: a["type"] == ALIAS_TYPE),
-        }
-    )
+    rows = _searched(records, answers, keep, bag, max_hops).withColumn("_reached", F.col("_search.found"))
     direct = F.transform("_hosts", lambda a: _pair(a, a["name"]))
-    reached = (_paths if bag else _closure)(F.col("_alias"))
-    rows = rows.withColumn("_reached", reached)
     chased = F.flatten(
         F.transform(
             "_reached",
@@ -81,14 +78,50 @@ def resolve_cnames(
     return rows.select(*keep, F.inline(pairs if bag else F.array_distinct(pairs)))
 
 
+def long_aliases(
+    records: DataFrame,
+    answers: str = "answers",
+    keep: Sequence[str] = (),
+    *,
+    bag: bool = False,
+    max_hops: int,
+) -> DataFrame:
+    """``(reason, payload)``: where ``resolve_cnames`` with the same bound stops, one row per alias
+    owner and name that it would have gone on to."""
+    rows = _searched(records, answers, keep, bag, max_hops)
+    rows = rows.select(*keep, F.explode(F.array_distinct("_search.beyond")).alias("b"))
+    return rows.select(*keep, F.lit("alias path too long").alias("reason"), F.to_json("b").alias("payload"))
+
+
+def _searched(
+    records: DataFrame, answers: str, keep: Sequence[str], bag: bool, max_hops: int | None
+) -> DataFrame:
+    if max_hops is not None and max_hops < 1:
+        raise ValueError("max_hops must be at least 1")
+    rows = records.where(F.size(answers) > 0)
+    rows = rows.select(*keep, _clean(F.col(answers)).alias("_answers"))
+    rows = rows.withColumns(
+        {
+            "_hosts": _addresses(F.col("_answers")),
+            "_alias": F.filter("_answers", lambda a: a["type"] == ALIAS_TYPE),
+        }
+    )
+    return rows.withColumn("_search", (_paths if bag else _closure)(F.col("_alias"), max_hops))
+
+
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _paths(alias: Column) -> Column:
-    """``[(root, [name])]``, one entry per loop-free path. A path grows by one alias
-    per round, so there are at most as many rounds as aliases."""
+def _rounds(alias: Column, most: int | None) -> Column:
+    """One element for each round of a search that needs no more rounds than aliases."""
+    return alias if most is None else F.slice(alias, 1, most)
+
+
+def _paths(alias: Column, max_hops: int | None) -> Column:
+    """``(found [(root, [name])], beyond [(root, name)])``: one entry per loop-free path, and the
+    next name of each that is stopped. A path grows by one alias per round."""
 
     def step(root: Column, name: Column, seen: Column) -> Column:
         return F.struct(root.alias("root"), name.alias("name"), seen.alias("seen"))
@@ -117,20 +150,31 @@ def _paths(alias: Column) -> Column:
         )
 
     start = F.struct(first.alias("tips"), first.alias("all"))
-    found = F.aggregate(alias, start, round_)["all"]
-    return F.transform(
-        found, lambda p: F.struct(p["root"].alias("root"), F.array(p["name"]).alias("names"))
-    )
+    rounds = _rounds(alias, None if max_hops is None else max_hops - 1)
+
+    def ended(state: Column) -> Column:
+        found = F.transform(
+            state["all"], lambda p: F.struct(p["root"].alias("root"), F.array(p["name"]).alias("names"))
+        )
+        onward = F.flatten(F.transform(state["tips"], grow))
+        beyond = F.transform(onward, lambda p: F.struct(p["root"].alias("root"), p["name"].alias("name")))
+        return F.struct(found.alias("found"), beyond.alias("beyond"))
+
+    return _let(F.aggregate(rounds, start, round_), ended)
 
 
-def _closure(alias: Column) -> Column:
-    """``[(root, names)]``, one entry per alias owner with all names it reaches."""
+def _closure(alias: Column, max_hops: int | None) -> Column:
+    """``(found [(root, names)], beyond [(root, name)])``: one entry per alias owner with all names
+    it reaches, and the names that a bound keeps it from."""
+
+    def onward(state: Column) -> Column:
+        further = F.filter(alias, lambda c: F.array_contains(state["tips"], c["name"]))
+        return F.array_except(F.transform(further, lambda c: c["data"]), state["seen"])
 
     def reach(root: Column) -> Column:
         def round_(state: Column, _: Column) -> Column:
-            onward = F.filter(alias, lambda c: F.array_contains(state["tips"], c["name"]))
             grown = _let(
-                F.array_except(F.transform(onward, lambda c: c["data"]), state["seen"]),
+                onward(state),
                 lambda fresh: F.struct(
                     fresh.alias("tips"), F.concat(state["seen"], fresh).alias("seen")
                 ),
@@ -138,10 +182,21 @@ def _closure(alias: Column) -> Column:
             return F.when(F.size(state["tips"]) > 0, grown).otherwise(state)
 
         start = F.struct(F.array(root).alias("tips"), F.array(root).alias("seen"))
-        return F.array_except(F.aggregate(alias, start, round_)["seen"], F.array(root))
+        return F.aggregate(_rounds(alias, max_hops), start, round_)
+
+    def ended(root: Column, state: Column) -> Column:
+        beyond = F.transform(onward(state), lambda n: F.struct(root.alias("root"), n.alias("name")))
+        names = F.array_except(state["seen"], F.array(root))
+        return F.struct(root.alias("root"), names.alias("names"), beyond.alias("beyond"))
 
     owners = F.array_distinct(F.transform(alias, lambda c: c["name"]))
-    return F.transform(owners, lambda n: F.struct(n.alias("root"), reach(n).alias("names")))
+    each = F.transform(owners, lambda n: _let(reach(n), lambda state: ended(n, state)))
+
+    def split(each: Column) -> Column:
+        found = F.transform(each, lambda e: F.struct(e["root"].alias("root"), e["names"].alias("names")))
+        return F.struct(found.alias("found"), F.flatten(F.transform(each, lambda e: e["beyond"])).alias("beyond"))
+
+    return _let(each, split)
 
 
 def answer_errors(

@@ -4,9 +4,10 @@ import json
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
-from scanweave.operators.dns import answer_errors, flatten_answers, resolve_cnames
+from scanweave.operators.dns import answer_errors, flatten_answers, long_aliases, resolve_cnames
 from scanweave.schemas import DNS_RECORD
 
 RECORDS = {
@@ -55,7 +56,7 @@ def counters(expected, bag=True):
 
 
 def test_paths(spark):
-    got = resolve_cnames(records(spark, RECORDS), keep=["record"])
+    got = resolve_cnames(records(spark, RECORDS), keep=["record"], bag=True)
     assert grouped(got) == counters(EXPECTED)
 
 
@@ -101,10 +102,50 @@ def test_random_records_equal_brute_force(spark):
         if walk(answers):
             want[str(i)] = walk(answers)
     df = records(spark, data)
-    assert grouped(resolve_cnames(df, keep=["record"])) == counters(want)
+    assert grouped(resolve_cnames(df, keep=["record"], bag=True)) == counters(want)
     assert grouped(resolve_cnames(df, keep=["record"], bag=False)) == counters(want, bag=False)
 
 
+@pytest.mark.parametrize("bag", [True, False])
+@pytest.mark.parametrize("max_hops", [1, 2, 3, 9])
+def test_bounded_paths_lose_nothing_silently(spark, bag, max_hops):
+    pick = random.Random(12)
+    data = {
+        str(i): [f"{pick.choice('abcdef')} CNAME {pick.choice('abcdef')}" for _ in range(pick.randint(1, 9))]
+        + [f"{pick.choice('abcdef')} A {k}" for k in "12"]
+        for i in range(150)
+    }
+    df = records(spark, data)
+    got = grouped(resolve_cnames(df, keep=["record"], bag=bag, max_hops=max_hops))
+    cut = {}
+    for r in long_aliases(df, keep=["record"], bag=bag, max_hops=max_hops).collect():
+        assert r.reason == "alias path too long"
+        cut.setdefault(r.record, []).append(tuple(json.loads(r.payload).values()))
+    for name, answers in data.items():
+        answers = [tuple(a.split()) for a in answers]
+        pairs, beyond = Counter(), set()
+        for owner, kind, target in answers:
+            if kind == "A":
+                pairs[target, owner, kind] += 1
+        walks = [(a, b, (a, b)) for a, kind, b in answers if kind == "CNAME" and a != b]
+        if not bag:
+            walks = list(dict.fromkeys(walks))
+        reached = {(a, a): 0 for a, kind, _ in answers if kind == "CNAME"}
+        for hops in range(1, max_hops + 2):
+            if not bag:  # each name of an owner is met once, over a shortest path
+                walks = [w for w in dict((w[:2], w) for w in walks).values() if reached.setdefault(w[:2], hops) == hops]
+            for root, tip, _ in walks:
+                if hops > max_hops:
+                    beyond.add((root, tip))
+                    continue
+                for owner, kind, target in answers:
+                    if kind == "A" and owner == tip:
+                        pairs[target, root, kind] += 1
+            walks = [(r, b, (*seen, b)) for r, tip, seen in walks for a, kind, b in answers if kind == "CNAME" and a == tip and b not in seen]
+        assert set(got.get(name, Counter())) == set(pairs) and (not bag or got.get(name) == pairs)
+        assert sorted(cut.get(name, [])) == sorted(beyond)
+
+
 def test_no_shuffle(spark):
     plan = resolve_cnames(records(spark, RECORDS))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan

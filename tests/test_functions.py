@@ -167,3 +167,26 @@ def test_quote_equals_the_standard_library(spark):
 )
 def test_text(spark, expression, want):
     assert evaluate(spark, want, with_y(expression)) == want
+
+
+def test_strict_addresses(spark):
+    import ipaddress
+    import random
+
+    pick = random.Random(8)
+    groups = ["", "0", "1", "ab", "FFFF", "10000", "0001", "g", "1.2.3.4", "01.2.3.4", "256.1.1.1", "1.2.3"]
+    texts = {":".join(pick.choice(groups[: pick.choice([5, 7, 12])]) for _ in range(pick.randint(1, 10))) for _ in range(4000)}
+    texts |= {"::", "::1", "1::", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4", "::1.2.3.4"}
+    texts |= {"1:2:3:4:5:6:7:1.2.3.4", "1::2::3", "1.2.3.4", "1.2.3.4\n", "1:2", ":::", "1:2:3:4:5::1.2.3.4", "1:2:3:4:5:6::1.2.3.4"}
+
+    def valid(text):
+        try:
+            ipaddress.ip_address(text)
+        except ValueError:
+            return False
+        return True
+
+    frame = spark.createDataFrame([(t,) for t in texts] + [(None,)], "ip string")
+    got = {r.ip: r.ok for r in frame.select("ip", is_valid_ip(F.col("ip"), strict=True).alias("ok")).collect()}
+    assert got.pop(None) is False
+    assert got == {t: valid(t) for t in texts} and 50 < sum(got.values())
