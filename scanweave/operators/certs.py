@@ -84,25 +84,27 @@ def name_text(name: Column) -> Column:
     return F.replace(text, F.lit("\r"), F.lit("\\r"))
 
 
-def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
-    """``df`` without its PEM column and with the attributes appended.
-
-    Rows that hold no readable certificate stay, with a null ``sha256``, so one
-    pass serves both ``parsed`` and ``rejected``. Decoding and hashing are Spark
-    expressions; only the DER bytes go through Python, in Arrow batches.
-    """
-    passed = [c for c in df.columns if c != pem]
+def with_der(df: DataFrame, pem: str = "cert") -> DataFrame:
+    """Add ``_der``, the bytes of the certificate in the PEM column (null if there is none), and
+    ``_key``, their SHA-256: the name under which a certificate is known in all scans."""
     # One column after the other: each is computed once, however often it is used.
-    usable = (F.col("_block.kind") == "CERTIFICATE") & ~F.col("_block.headers")
     rows = df.withColumn("_block", _first_block(F.col(pem)))
+    usable = (F.col("_block.kind") == "CERTIFICATE") & ~F.col("_block.headers")
     rows = rows.withColumn("_der", F.when(usable, F.col("_block.der"))).drop("_block")
-    rows = rows.withColumn("_x", _fields("_der"))
+    return rows.withColumn("_key", F.sha2("_der", 256))
+
+
+def with_attributes(df: DataFrame) -> DataFrame:
+    """``df`` without ``_der`` and ``_key``, with the attributes appended; they are null, the hash
+    too, where the bytes are no certificate. Only the bytes go through Python, in Arrow batches."""
+    passed = [c for c in df.columns if c not in ("_der", "_key")]
+    rows = df.withColumn("_x", _fields("_der"))
     known = F.col("_x").isNotNull()
     names = F.col("_x.altNames")
     return rows.select(
         *passed,
         F.when(known, F.sha1("_der")).alias("sha1"),
-        F.when(known, F.sha2("_der", 256)).alias("sha256"),
+        F.when(known, F.col("_key")).alias("sha256"),
         name_text(F.col("_x.subject")).alias("subject"),
         name_text(F.col("_x.issuer")).alias("issuer"),
         *(F.col(f"_x.{c}") for c in ("notBefore", "notAfter")),
@@ -110,10 +112,21 @@ def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
         F.sha2("_x.publicKey", 256).alias("sha256PubKey"),
         F.when(known, F.when(names.isNull(), 0).otherwise(F.size(names))).alias("numAltNames"),
         names.alias("altNames"),
-        F.when(~known, F.coalesce(F.col(pem), F.lit(""))).alias("_rejected"),
     )
 
 
+def with_certificate(df: DataFrame, pem: str = "cert") -> DataFrame:
+    """``df`` without its PEM column and with the attributes appended.
+
+    Rows that hold no readable certificate stay, with a null ``sha256``, so one
+    pass serves both ``parsed`` and ``rejected``. Decoding and hashing are Spark
+    expressions; only the DER bytes go through Python, in Arrow batches.
+    """
+    rows = with_attributes(with_der(df, pem))
+    text = F.when(F.col("sha256").isNull(), F.coalesce(F.col(pem), F.lit("")))
+    return rows.withColumn("_rejected", text).drop(pem)
+
+
 def parsed(certificates: DataFrame) -> DataFrame:
     return certificates.where(F.col("_rejected").isNull()).drop("_rejected")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import strip_dot
@@ -54,14 +56,16 @@ def record_type(path: Column) -> Column:
 
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """``(path, scan_date, source, scan, file)`` of the files in the folders, files and globs of
-    ``paths``. They are only listed, nothing is opened."""
-    listed = spark.read.format("binaryFile").load(list(paths)).select("path")
-    return listed.select("path", *_origin(F.col("path")))
+    """``(path, length, modified, scan_date, source, scan, file)`` of the files in the folders,
+    files and globs of ``paths``. They are only listed, nothing is opened."""
+    listed = spark.read.format("binaryFile").load(list(paths))
+    size = ["length", F.col("modificationTime").alias("modified")]
+    return listed.select("path", *size, *_origin(F.col("path")))
 
 
 def discover(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
-    """``(path, kind, scan_date, source, scan, file, type)`` of the scan files in ``folders``.
+    """``(path, length, modified, kind, scan_date, source, scan, file, type)`` of the scan files in
+    ``folders``.
 
     Files in a folder without a date have a null ``scan_date``; files of no known
     kind are left out. ``type`` is set for DNS pair files.
@@ -71,6 +75,8 @@ def discover(spark: SparkSession, folders: Sequence[str]) -> DataFrame:
     kind = F.coalesce(scan, F.when(name.contains(".ipdomain"), "dns"))
     return list_files(spark, folders).select(
         "path",
+        "length",
+        "modified",
         kind.alias("kind"),
         "scan_date",
         "source",
@@ -119,9 +125,32 @@ def read_delimited(
     )
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one CSV file; only its first record is read."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """Column names of CSV files by path, in one job. Each file (each part of a large one) is a
+    task of its own, which reads one line and returns."""
+    if not paths:
+        return {}
+    apart = spark.newSession()  # its settings are its own
+    apart.conf.set("spark.sql.files.openCostInBytes", apart.conf.get("spark.sql.files.maxPartitionBytes"))
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    start = F.col("_metadata.file_block_start").alias("start")
+    lines = apart.read.text(list(paths)).select(_path().alias("path"), "value", start)
+    lines = lines.mapInArrow(_first_line, "path string, value string").collect()  # one row per file
+    found = {}
+    for path, line in lines:
+        if line.count('"') % 2:  # a name goes on in the next line: read the first record
+            found[path] = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"').columns
+        else:
+            found[path] = next(csv.reader([line.removeprefix("\ufeff")]), [])
+    return found
+
+
+def _first_line(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            if batch.column("start")[0].as_py() == 0:
+                yield batch.slice(0, 1).select(["path", "value"])
+            return
 
 
 def read_parsed_certs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

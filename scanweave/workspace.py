@@ -51,16 +51,9 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def partition_values(spark: SparkSession, table: str, names: Sequence[str]) -> list[tuple[str, ...]]:
-    """Values of the partition folders of ``table``; reads folder names only."""
-    fs, target = _filesystem(spark, "/".join([table, *(f"{n}=*" for n in names)]))
-    found = fs.globStatus(target)
-    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    values = []
-    for status in found or []:
-        parts = status.getPath().toString().split("/")[-len(names):]
-        values.append(tuple(unescape(p.split("=", 1)[1]) for p in parts))
-    return values
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _filesystem(spark, path)
+    return fs.exists(target)
 
 
 def fingerprint(df: DataFrame) -> str:

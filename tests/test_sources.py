@@ -98,6 +98,7 @@ def test_ingest(spark, scans, tmp_path):
         "hosts": {"rows": 3, "rejected": 2},
         "http": {"rows": 2, "rejected": 0},
         "certs": {"rows": 3, "rejected": 1},
+        "cert_bodies": {"rows": 2},
         "dns": {"rows": 2, "rejected": 0},
     }
     hosts = read_snapshot(spark, f"{store}/hosts").collect()
@@ -121,6 +122,78 @@ def test_ingest(spark, scans, tmp_path):
     assert read_snapshot(spark, f"{store}/dns").count() == 3
 
 
+def test_the_same_certificates_are_parsed_once(spark, scans, tmp_path):
+    store = str(tmp_path / "store")
+    assert ingest_scans(spark, scans, store)["cert_bodies"] == {"rows": 2}
+    tls = next(s for s in map(Path, scans) if s.name.endswith("tls"))
+    later = tls.parent / "2023-07-30-tls"
+    later.mkdir()
+    for name in ("hosts.csv", "certs.csv"):
+        (later / name).write_bytes((tls / name).read_bytes())
+    counts = ingest_scans(spark, [*scans, str(later)], store)
+    assert counts["certs"] == {"rows": 3, "rejected": 1} and counts["cert_bodies"] == {"rows": 0}
+    both = read_snapshot(spark, f"{store}/certs").drop("notBefore", "notAfter", "scan_date", "source", "scan", "file").collect()
+    assert len(both) == 4 and len({str(r) for r in both}) == 2
+    assert read_rejects(spark, f"{store}/certs").count() == 2
+
+
+def test_unreadable_bytes_are_corrupt(spark, tmp_path):
+    folder, store = tmp_path / "2024-01-01-tls", str(tmp_path / "store")
+    write_csv(folder / "hosts.csv", HOST_COLUMNS, [host(1, "192.0.2.1", "a.example.com", "c", 1)])
+    pem = "-----BEGIN CERTIFICATE-----\nAAAA\n-----END CERTIFICATE-----\n"
+    write_csv(folder / "certs.csv", ["id", "cert", "system_cert_store"], [[1, pem, 0], [2, pem, 0], [3, "", 0]])
+    assert ingest_scans(spark, [str(folder)], store)["certs"] == {"rows": 3, "rejected": 3}
+    assert sorted(r.payload for r in read_rejects(spark, f"{store}/certs").collect()) == ["", pem, pem]
+    assert read_snapshot(spark, f"{store}/certs").count() == 0
+
+
+def test_a_replaced_file_is_read_again(spark, tmp_path):
+    folder, store = tmp_path / "2024-01-01-dns", str(tmp_path / "store")
+    write_csv(folder / "resolved-A.ipdomain", None, [["192.0.2.1", "one.example.com"], ["192.0.2.2", "two.example.com"]])
+    write_csv(folder / "other-A.ipdomain", None, [["192.0.2.3", "three.example.com"]])
+    assert ingest_scans(spark, [str(folder)], store)["dns"]["rows"] == 3
+    write_csv(folder / "resolved-A.ipdomain", None, [["192.0.2.9", "nine.example.com"]])
+    assert ingest_scans(spark, [str(folder)], store)["dns"]["rows"] == 1
+    assert {r.ip for r in read_snapshot(spark, f"{store}/dns").collect()} == {"192.0.2.9", "192.0.2.3"}
+    assert ingest_scans(spark, [str(folder)], store) == {}
+
+
+def test_certificates_parsed_elsewhere_are_ingested(spark, tmp_path):
+    store = str(tmp_path / "store")
+    folder = tmp_path / "2023-05-30-tls"
+    write_csv(folder / "hosts.csv", HOST_COLUMNS, [host(1, "192.0.2.1", "a.example.com", "c", 1)])
+    names = [c.split()[0] for c in PARSED_CERTS.split(", ")]
+    row = [1, 0, "s1", "s256", "CN=a", "CN=b", "2024-01-01T10:30:00Z", "2025-01-01T00:00:00Z", "true", "false", "key", 1]
+    write_csv(folder / "certs.csv", names, [[*row, '["a.example.com"]'], ["x", *row[1:], "null"]])
+    assert ingest_scans(spark, [str(folder)], store)["certs"] == {"rows": 2, "rejected": 1}
+    (cert,) = read_snapshot(spark, f"{store}/certs").collect()
+    assert (cert.sha256, cert.altNames, cert.source) == ("s256", ["a.example.com"], "2023-05-30-tls")
+
+
+def test_headers_in_one_job(spark, tmp_path):
+    paths = {}
+    for i in range(12):
+        path = tmp_path / f"2024-01-{i + 1:02}" / "http.csv"
+        write_csv(path, ["id", f"name, {i}", 'quoted "x"'] + (["two\nlines"] if i == 3 else []), [[k, "v" * 50] for k in range(500)])
+        paths[f"file:{path}"] = ["id", f"name, {i}", 'quoted "x"'] + (["two\nlines"] if i == 3 else [])
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress("\ufeffa,b\n1,2\n".encode()))
+    found = files.headers(spark, [*paths, str(tmp_path / "empty.csv"), str(tmp_path / "z.csv.gz")])
+    assert {p.split(str(tmp_path))[1]: c for p, c in found.items()} == {
+        **{p.split(str(tmp_path))[1]: c for p, c in paths.items()}, "/z.csv.gz": ["a", "b"],
+    }
+    tracker = spark.sparkContext.statusTracker()
+    few = [p for p in paths if not p.endswith("04/http.csv")]
+    jobs = []
+    for some in (few[:2], few):
+        group = f"headers of {len(some)}"
+        spark.sparkContext.setJobGroup(group, group)
+        files.headers(spark, some)
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
 def test_certificates_are_mandatory(spark, scans, tmp_path):
     bare = tmp_path / "in" / "2023-06-30-tls"
     write_csv(bare / "hosts.csv", HOST_COLUMNS, [host(1, "192.0.2.1", "a.example.com", "c", 1)])
