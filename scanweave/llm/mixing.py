@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .exchange import row_key, stored
+from .exchange import row_key, stored, unused
 
 LEVELS = ("domain", "lang", "source")
 UNKNOWN = "unknown"
@@ -110,7 +110,8 @@ def cuts(rows: DataFrame, target: Target) -> DataFrame:
     schema = "_leaf struct<domain string, lang string, source string>, tokens long, budget long, whole long"
     plan = F.broadcast(spark.createDataFrame(plan, schema).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")))
 
-    keyed = sizes.join(plan, "_leaf").select("_leaf", "_tokens", "rest", _order(target.seed, F.col("whole")).alias("h"))
+    # Where whole epochs use up the budget nothing of the next one is read, not even texts without tokens.
+    keyed = sizes.join(plan, "_leaf").where(F.col("rest") > 0).select("_leaf", "_tokens", "rest", _order(target.seed, F.col("whole")).alias("h"))
     step = F.shiftright("h", 64 - _STEP_BITS)
     keyed = keyed.withColumn("step", step)
     sums = keyed.groupBy("_leaf", "rest", "step").agg(F.sum("_tokens").alias("in_step"), F.max("h").alias("last"))
@@ -130,7 +131,7 @@ def cuts(rows: DataFrame, target: Target) -> DataFrame:
 
 def mix_sources(docs: DataFrame, target: Target, domain: Column | None = None) -> DataFrame:
     """The columns of ``docs`` and ``_leaf, _tokens, _row, epoch``: a row for each time a document
-    is taken.
+    is taken. Input columns of these four names are replaced, all others are kept.
 
     Tokens are words between white space. Names that are null are one node, ``unknown``. A
     text that is null or empty has no tokens; it is taken where the order reaches it.
@@ -139,10 +140,12 @@ def mix_sources(docs: DataFrame, target: Target, domain: Column | None = None) -
     table gives no rows.
     """
     rows = placed(docs, domain)
-    plan = cuts(rows, target)
+    plan = cuts(rows, target).select("_leaf", F.struct("whole", "cut").alias(name := unused(docs, "_plan")))
     chosen = rows.join(F.broadcast(plan), "_leaf")  # MAX_LEAVES rows at most
+    whole, cut = F.col(f"{name}.whole"), F.col(f"{name}.cut")
     epochs = F.array_compact(F.concat(
-        F.when(F.col("whole") > 0, F.sequence(F.lit(0).cast("long"), F.col("whole") - 1)).otherwise(F.array().cast("array<long>")),
-        F.array(F.when(F.col("cut").isNotNull() & (_order(target.seed, F.col("whole")) <= F.col("cut")), F.col("whole"))),
+        F.when(whole > 0, F.sequence(F.lit(0).cast("long"), whole - 1)).otherwise(F.array().cast("array<long>")),
+        F.array(F.when(cut.isNotNull() & (_order(target.seed, whole) <= cut), whole)),
     ))
-    return chosen.withColumn("epoch", F.explode(epochs)).drop("whole", "cut", "budget", "tokens")
+    own = [c for c in rows.columns if c != "epoch"]
+    return chosen.select(*own, name, F.explode(epochs).alias("epoch")).drop(name)

@@ -22,13 +22,17 @@ import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .exchange import columns, stored, texts
-from .tokens import CACHE, UNSETTLED, tokenizer
+from .tokens import UNSETTLED, tokenizer
 
 #: Fixed value: how the word tokenizer cuts normalized text into words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: What is left to the tokenizer as a whole: see UNSETTLED; sigma, whose lower case
 #: depends on its place; strings that may be special tokens.
 _WHOLE = regex.compile(rf"[{UNSETTLED}Σ\x1c-\x1f]|<\|")
+#: Runs of characters and words whose ids a worker holds on to, twice so many at most.
+RUNS, WORDS = 300_000, 180_000
+#: Marks that are a word of their own at the end of a run of letters.
+MARKS = frozenset(".,;:!?")
 #: Fixed value: what the last token of a word ends with.
 WORD_END = "</w>"
 END_ID = 1
@@ -38,11 +42,28 @@ ROWS_PER_RANKING = 200_000
 PIECE = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class Recent:
+    """A bounded memory in two generations: what is asked for moves to the young one, and when
+    that is full it becomes the old one, whose entries go."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that are not held; the others are in ``young`` from now on."""
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        lacking = keys - self.young.keys()
+        found = lacking & self.old.keys()
+        self.young.update(zip(found, map(self.old.__getitem__, found)))
+        return lacking - found
+
+
 class Ids:
     """Texts to their ids as little-endian 32-bit text.
 
     White space never reaches the ids, so a run of other characters has the same ids
-    wherever it stands: ``runs`` caches them. What a run is cut into is looked up in
+    wherever it stands: ``runs`` remembers them. What a run is cut into is looked up in
     ``words``, and the words missing there are encoded by the tokenizer, many at a time.
     """
 
@@ -51,12 +72,9 @@ class Ids:
         vocabulary = self.model.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.runs: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.runs, self.words = Recent(RUNS), Recent(WORDS)
 
     def _encode(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > CACHE:
-            self.words.clear()
         for k in range(0, len(words), 4096):
             some = words[k : k + 4096]
             ids = np.array(self.model.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
@@ -64,21 +82,22 @@ class Ids:
             if len(cuts) != len(some):
                 raise ValueError("the tokenizer cuts words in an unknown way")
             cuts = (4 * cuts).tolist()
-            self.words.update(zip(some, (data[a:b] for a, b in zip([0, *cuts], cuts))))
+            self.words.young.update(zip(some, (data[a:b] for a, b in zip([0, *cuts], cuts))))
 
     def _learn(self, runs: set[str]) -> None:
-        missing = list(runs - self.runs.keys())
-        if len(self.runs) + len(missing) > 2 * CACHE:
-            self.runs.clear()
-            missing = list(runs)
-        cut = list(map(_words, missing))
-        words = {w for c in cut for w in c}
-        lacking = list(words - self.words.keys())
-        if len(self.words) + len(lacking) > CACHE:
-            lacking = list(words)
-        self._encode(lacking)
-        get = self.words.__getitem__
-        self.runs.update(zip(missing, (b"".join(map(get, c)) for c in cut)))
+        missing = self.runs.missing(runs)
+        alone = list(filter(str.isalpha, missing))
+        rest = missing.difference(alone)
+        # Letters with a mark at the end are the common case, told without a pattern.
+        marked = [r for r in rest if r[-1] in MARKS and r[:-1].isalpha()]
+        heads = [r[:-1] for r in marked]
+        others = [(r, WORD.findall(r)) for r in rest.difference(marked)]
+        words = {*alone, *heads, *(MARKS if marked else ()), *(w for _, c in others for w in c)}
+        self._encode(list(self.words.missing(words)))
+        get, learned = self.words.young.__getitem__, self.runs.young
+        learned.update(zip(alone, map(get, alone)))
+        learned.update((r, get(h) + get(r[-1])) for r, h in zip(marked, heads))
+        learned.update((r, b"".join(map(get, c))) for r, c in others)
 
     def of(self, texts: list[str | None]) -> list[bytes]:
         out, split = [b""] * len(texts), {}
@@ -92,20 +111,12 @@ class Ids:
                 text = unicodedata.normalize("NFC", text)
             split[i] = text.lower().split()
         self._learn({w for words in split.values() for w in words})
-        get = self.runs.__getitem__
+        get = self.runs.young.__getitem__
         for i, words in split.items():
             out[i] = b"".join(map(get, words))
         return out
 
 
-def _words(run: str) -> list[str]:
-    """A run cut into words; letters with at most one mark at the end need no pattern."""
-    if run.isalpha():
-        return [run]
-    head, last = run[:-1], run[-1]
-    return [head, last] if last in ".,;:!?" and head.isalpha() else WORD.findall(run)
-
-
 def plain(text: str) -> bool:
     """Latin-1 without what may be a special token or a separator: the common case, told
     without looking at single characters. Such a text is in normal form."""

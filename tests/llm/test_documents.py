@@ -203,6 +203,19 @@ def test_budgets_go_to_siblings_before_ancestors():
     assert sum(mixing.budgets(leaves, mixing.Target(total=10**6, epochs=2)).values()) == 2 * sum(leaves.values())
 
 
+@pytest.mark.parametrize("seed", [17, 1, 2, 3])
+def test_mixing_reads_no_leaf_more_often_than_its_epochs(spark, seed):
+    rows = [(i, "" if i % 3 else f"word {i}", "en", f"s{i % 2}", 1, "x") for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, whole int, cut string")
+    taken = mixing.mix_sources(table, mixing.Target(seed=seed))
+    assert taken.columns == [*table.columns, "_leaf", "_tokens", "_row", "epoch"]
+    assert sorted(r.doc_id for r in taken.collect()) == list(range(300))
+    assert {r.epoch for r in taken.collect()} == {0} and {r.cut for r in taken.collect()} == {"x"}
+    # Two epochs of what has tokens: a third, begun, would take texts without any.
+    twice = mixing.mix_sources(table, mixing.Target(seed=seed, total=400, epochs=2)).groupBy("doc_id").count()
+    assert {r["count"] for r in twice.collect()} == {2}
+
+
 def test_mixing_takes_a_prefix_of_each_order(spark, docs, none):
     rows = [(i, "w " * (i % 7), "en" if i % 3 else None, f"s{i % 2 if i % 4 else 0}") for i in range(400)]
     table = spark.createDataFrame([*rows, rows[9]], "doc_id long, text string, lang string, source string")
