@@ -107,10 +107,16 @@ def _norms(x: np.ndarray) -> np.ndarray:
     return np.sqrt((x * x).sum(axis=1))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near one: that
+    changes no digit of a cosine, and keeps squares from under- and overflowing."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
 def _block(batches: Iterable[pa.RecordBatch], size: int, dim: int) -> Iterator[pa.RecordBatch]:
     for ids, values in columns(batches, "id", "vector"):
         ids, flat = longs(ids), values.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        x = vectors(flat, dim)
+        x = _scaled(vectors(flat, dim))
         for k in range(0, len(ids), size):
             yield pa.RecordBatch.from_pydict({
                 "block": pa.array([int(mix(ids[k : k + 1].view(np.uint64) + np.uint64(len(ids)))[0] >> np.uint64(2))], pa.int64()),
@@ -185,7 +191,7 @@ def _add_probes(batches: Iterable[pa.RecordBatch], h: Hashing, probes: int) -> I
 def _needed(batches: Iterable[pa.RecordBatch], h: Hashing) -> Iterator[pa.RecordBatch]:
     """At which probe each true neighbour is met first, or ``PROBES``."""
     for q, v in columns(batches, "q", "v"):
-        x, y = (vectors(c.flatten().to_numpy(zero_copy_only=False).astype(np.float64), h.dim) for c in (q, v))
+        x, y = (_scaled(vectors(c.flatten().to_numpy(zero_copy_only=False).astype(np.float64), h.dim)) for c in (q, v))
         wanted = probe_keys(h, x / _norms(x)[:, None], PROBES)
         same = wanted == h.keys(h.cells(y / _norms(y)[:, None])[0])[:, :, None]
         at = np.where(same.any(axis=2), same.argmax(axis=2), PROBES).min(axis=1)
@@ -206,12 +212,14 @@ def usable(table: DataFrame, id_column: str, vector: str) -> tuple[DataFrame, in
 def nearest(
     table: DataFrame, is_query, *, k: int = 5, id_column: str = "vec_id", vector: str = "embedding", hashing: dict | None = None
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each row that
+    """``query_id, rank, vec_id, score, recall``: the ``k`` nearest rows found for each row that
     ``is_query`` (a condition on ``id``) holds for, by cosine, ties to the smaller id.
 
     The number of probes is the least that reaches ``TARGET`` recall on a sample of ``SAMPLE``
-    queries, whose neighbours are searched exhaustively; all rows are indexed. A query
-    that meets fewer than ``k`` rows is searched exhaustively too. Rows without an id,
+    queries, whose neighbours are searched exhaustively; all rows are indexed. ``recall`` is
+    what the sample had with it. Where all probes there are miss the target, and for a query
+    that meets fewer than ``k`` rows, the search is exhaustive. Of different vectors
+    with a query's id the least one asks. Rows without an id,
     and vectors that are null, zero, of another length than most, or hold a null or a
     number that is not finite take no part. Rows that repeat a query's id are not its
     neighbours; other repeated ids count once, at their best score. An empty table gives
@@ -219,19 +227,22 @@ def nearest(
     """
     spark = table.sparkSession
     rows, dim = usable(table, id_column, vector)
-    schema = "query_id long, rank int, vec_id long, score double"
+    schema = "query_id long, rank int, vec_id long, score double, recall double"
     if not dim:
         return spark.createDataFrame([], schema)
     h = Hashing(dim, **(hashing or {}))
     packed = "block long, ids binary, data binary"
     index = stored(rows.mapInArrow(partial(_block, size=INDEX_BLOCK, dim=dim), packed), "index")
-    queries = rows.where(is_query(F.col("id"))).dropDuplicates(["id"])
+    queries = rows.where(is_query(F.col("id"))).groupBy("id").agg(F.min("vector").alias("vector"))
     blocks = stored(queries.mapInArrow(partial(_block, size=QUERY_BLOCK, dim=dim), packed), "queries")
 
     sample = queries.orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
     some = sample.coalesce(1).mapInArrow(partial(_block, size=SAMPLE, dim=dim), packed)
     truth = stored(_ranked(_searched(index, _unprobed(some), h, None, k), k), "truth")
-    probes = _probes(truth, rows, h)
+    probes, recall = _probes(truth, rows, h)
+    if probes is None:
+        found = stored(_ranked(_searched(index, _unprobed(blocks), h, None, k), k), "found")
+        return _shown(found, 1.0)
 
     probed = "block long, qids binary, qdata binary, qkeys binary"
     ready = blocks.mapInArrow(partial(_add_probes, h=h, probes=probes), probed)
@@ -241,7 +252,11 @@ def nearest(
     rest = _unprobed(short.mapInArrow(partial(_block, size=QUERY_BLOCK, dim=dim), packed))
     more = _ranked(_searched(index, rest, h, None, k), k)
     found = found.join(full, found["query_id"] == full["id"], "left_semi").unionByName(more)
-    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return _shown(found, recall)
+
+
+def _shown(found: DataFrame, recall: float) -> DataFrame:
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", F.lit(recall).alias("recall"))
 
 
 def _unprobed(blocks: DataFrame) -> DataFrame:
@@ -269,11 +284,15 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _probes(truth: DataFrame, rows: DataFrame, h: Hashing) -> int:
-    """The number of probes that meets ``TARGET`` of the sample's neighbours."""
+def _probes(truth: DataFrame, rows: DataFrame, h: Hashing) -> tuple[int | None, float]:
+    """The number of probes that meets ``TARGET`` of the sample's neighbours, and the share that
+    it meets; None if there are not enough."""
     one = rows.dropDuplicates(["id"])
     pairs = truth.select("query_id", "vec_id")
     pairs = one.join(F.broadcast(pairs), one["id"] == F.col("query_id")).select("vec_id", F.col("vector").alias("q"))
     pairs = one.join(F.broadcast(pairs), one["id"] == F.col("vec_id")).select("q", F.col("vector").alias("v"))
     at = sorted(r["at"] for r in pairs.mapInArrow(partial(_needed, h=h), "at long").collect())  # SAMPLE * k at most
-    return min(PROBES, at[min(len(at) - 1, int(np.ceil(TARGET * len(at))) - 1)] + 1) if at else 1
+    if not at:
+        return 1, 1.0
+    need = at[int(np.ceil(TARGET * len(at))) - 1]
+    return (None if need >= PROBES else need + 1), sum(a <= need for a in at) / len(at)

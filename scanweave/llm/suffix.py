@@ -78,6 +78,11 @@ def _rank(batches: Iterable[pa.RecordBatch], span: int, length: int) -> Iterator
         yield _batch(list(seen.values()) + out)
 
 
+def _fetch_and_rank(batches: Iterable[pa.RecordBatch], span: int, length: int) -> Iterator[pa.RecordBatch]:
+    """Both in one worker: two Python steps in a row would take two for each task."""
+    return _rank(_fetch(batches, length), span, length)
+
+
 def _rerank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted rows: what equals the row before is settled, the first of each content goes
     on if its key has another content."""
@@ -142,14 +147,14 @@ def earlier_strings(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     parts = buckets(rows.sparkSession)
     first = stored(repeated(rows, scheme), "anchors")
     asked = with_lists(rows.select("row", "text"), first.where("open"), "asked", "inner", "key", "doc", "start", "n", "lead")
-    still = asked.mapInArrow(partial(_fetch, length=length), RANKED)
+    still, rank = asked, _fetch_and_rank
     done = [first.where("NOT open").select("row", "start", "n")]
     for span in SPANS:
-        ranked = still.mapInArrow(partial(_rank, span=span, length=length), RANKED)
+        ranked = still.mapInArrow(partial(rank, span=span, length=length), RANKED)
         ranked = ranked.repartition(parts, "key").sortWithinPartitions("key", "content", "doc", "row", "start")
         table = stored(ranked.mapInArrow(_rerank, RANKED), f"ranks-{span}")
         done.append(table.where("settled").select("row", "start", "n"))
-        still = table.where("NOT settled")
+        still, rank = table.where("NOT settled"), _rank
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

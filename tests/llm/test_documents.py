@@ -298,6 +298,32 @@ def test_nearest(spark):
     assert nearest(table.where("vec_id = 5000"), lambda v: v % 50 == 0).count() == 0
 
 
+def test_nearest_with_very_large_and_small_components(spark):
+    rng = np.random.RandomState(2)
+    base = rng.standard_normal((120, 8))
+    rows = [(i, (x * (1e-200, 1.0, 1e200)[i % 3]).tolist()) for i, x in enumerate(base)] + [(0, [9.0] * 8)]
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    found = nearest(table, lambda v: v % 50 == 0).collect()
+    assert len(found) == 15 and all(0 <= r.recall <= 1 for r in found)
+    asked = {q: unit[q] for q in (50, 100)} | {0: min((tuple(rows[0][1]), unit[0]), (tuple([9.0] * 8), np.ones(8) / 8**0.5))[1]}
+    for r in found:
+        assert r.score == pytest.approx(float(asked[r.query_id] @ unit[r.vec_id]), abs=1e-12)
+
+
+def test_nearest_is_exhaustive_where_probes_do_not_reach(spark, monkeypatch):
+    from scanweave.llm import ann
+
+    monkeypatch.setattr(ann, "PROBES", 1)
+    base = np.random.RandomState(3).standard_normal((400, 12))
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(base)], "vec_id long, embedding array<double>")
+    found = {(r.query_id, r["rank"]): r.vec_id for r in nearest(table, lambda v: v % 50 == 0).collect()}
+    for q in range(0, 400, 50):
+        best = [i for i in sorted(range(400), key=lambda i: (-(unit[i] @ unit[q]), i)) if i != q][:5]
+        assert [found[q, k] for k in range(1, 6)] == best
+
+
 def test_nearest_counts_repeated_rows_once(spark):
     rng = np.random.RandomState(1)
     base = rng.standard_normal((300, 8))
