@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 
@@ -56,6 +57,16 @@ def columns(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[list]:
             yield [batch.column(n) for n in names]
 
 
+def tidy() -> None:
+    """Give what a task has left unused back to the system at its end: Python workers live on,
+    and each stage's leftovers would add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def longs(column: pa.Array, null: int = 0) -> np.ndarray:
     return column.fill_null(null).to_numpy(zero_copy_only=False).astype(np.int64)
 

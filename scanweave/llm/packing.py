@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .exchange import columns, stored, texts
+from .exchange import columns, stored, texts, tidy
 from .tokens import UNSETTLED, tokenizer
 
 #: Fixed value: how the word tokenizer cuts normalized text into words.
@@ -149,6 +149,8 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str, size: int) -> Iterator[pa
         take = pa.array(at, pa.int32())
         made = [doc.take(take), row.take(take), *(pa.array(v, pa.int64()) for v in (start, length, crc, total))]
         yield pa.RecordBatch.from_arrays(made, ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"])
+    ids.runs, ids.words = Recent(RUNS), Recent(WORDS)
+    tidy()
 
 
 def cut_documents(docs: DataFrame, path: str, size: int) -> DataFrame:
