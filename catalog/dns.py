@@ -11,7 +11,7 @@ from scanweave.sources.files import (
     unusable_records,
     usable_records,
 )
-from scanweave.workspace import scratch_dir
+from scanweave.workspace import materialize, scratch_dir
 
 from .base import table
 
@@ -120,6 +120,7 @@ _MESH = """concat(flatten(transform(sequence(0, 4), i -> transform(filter(sequen
 def cname_bounded(spark, folder):
     """Paths of up to two aliases in a dense mesh, and where longer ones are cut off."""
     records = table(spark, folder, "customer").selectExpr("c_custkey AS record", _MESH)
+    records = materialize(records, scratch_dir(spark, "mesh"))
     pairs = resolve_cnames(records, keep=["record"], bag=True, max_hops=2)
     pairs = pairs.groupBy("record", "ip", "domain").agg(F.count(F.lit(1)).alias("paths"))
     cut = long_aliases(records, keep=["record"], bag=True, max_hops=2)
