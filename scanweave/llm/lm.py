@@ -8,7 +8,8 @@ per word under the target less that under the background.
 Words and bigrams are counted by 64-bit hashes, in tables that grow with the corpus. Neither
 tables nor texts pass through the driver: texts are kept in chunks, a chunk asks for each of
 its n-grams once, and what the tables answer returns to the chunk. So a frequent n-gram
-costs one key per chunk, and no table is held as a whole anywhere.
+costs one key per chunk, and no table is held as a whole anywhere. Where the counted texts
+are the scored ones (``score_corpus``), a chunk's counts are its question as well.
 """
 
 from __future__ import annotations
@@ -21,17 +22,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .exchange import columns, stored
+from .exchange import columns, stored, tidy
 from .textbytes import mix, pieces, text_buffer, word_hashes, word_spans
 
 #: Mass of the prior in each context, in words; mass of the uniform part per word.
 PRIOR, UNIFORM = 50.0, 0.1
 #: Words that the uniform part is over; a corpus that has more sets a larger number.
 VOCABULARY = 1 << 18
-#: Tables of words and of bigrams are cut by the upper bits of the hash.
-BUCKET_BITS = 11
+#: Tables of words and of bigrams are cut by the upper bits of the hash, into buckets that each
+#: hold the keys of about so many bytes of text.
+BUCKET = 1 << 23
+MAX_BITS = 24
 #: Bytes of text in a chunk, one text at least.
-CHUNK = 1 << 24
+CHUNK = 1 << 22
+#: Up to so many target ids (8 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
 _START = np.uint64(0x5851F42D4C957F2D)
 #: Counts of a word (seen, and seen as a context) and of a bigram, for background and target.
 _WORD, _PAIR = 0, 1
@@ -74,13 +79,16 @@ def _chunks(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[list[pa.
 
 
 def _narrow(counts: np.ndarray) -> bytes:
-    """Counts in the smallest type that holds them; ``_counts`` finds it by the length."""
-    return np.ascontiguousarray(counts, np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+    """Counts in the smallest type that holds them, low bytes first: high ones are mostly zeros.
+    ``_counts`` finds the type by the length."""
+    small = np.ascontiguousarray(counts, np.min_scalar_type(int(counts.max(initial=0))))
+    return small.view(np.uint8).reshape(-1, small.itemsize).T.tobytes()
 
 
 def _counts(data: bytes, n: int, kind: int) -> np.ndarray:
     width = len(data) // (n * _COUNTS[kind])
-    return np.frombuffer(data, f"<u{width}").reshape(_COUNTS[kind], n).astype(np.int64)
+    rows = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T)
+    return rows.view(f"<u{width}").reshape(_COUNTS[kind], n).astype(np.int64)
 
 
 def _packed(keys: np.ndarray) -> bytes:
@@ -94,29 +102,37 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(steps.view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _by_bucket(keys: np.ndarray, kind: int) -> Iterator[tuple[int, slice]]:
+def _by_bucket(keys: np.ndarray, kind: int, bits: int) -> Iterator[tuple[int, slice]]:
     """``(bucket, positions)`` of sorted keys, ascending."""
-    own = (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+    own = (keys >> np.uint64(64 - bits)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(own, prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(keys)]):
-        yield (kind << BUCKET_BITS) + int(own[a]), slice(int(a), int(b))
-
-
-def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for text, target in _chunks(batches, "text", "target"):
-        word, context, pair, counts = _cells(*text_buffer(text))
-        own = np.repeat(target.to_numpy(zero_copy_only=False).astype(np.int64), counts)
-        # A word and its use as a context share a key: rows are seen 0, 1, as a context 0, 1.
-        both = np.concatenate([own, own + 2])
-        for kind, keys, row in ((_WORD, np.concatenate([word, context]), both), (_PAIR, pair, own)):
-            keys, at = np.unique(keys, return_inverse=True)
-            n = np.bincount(row * len(keys) + at, minlength=_COUNTS[kind] * len(keys)).reshape(_COUNTS[kind], len(keys))
-            cut = list(_by_bucket(keys, kind))
-            yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([b for b, _ in cut], pa.int32()),
-                "keys": pa.array([_packed(keys[s]) for _, s in cut], pa.binary()),
-                "counts": pa.array([_narrow(n[:, s]) for _, s in cut], pa.binary()),
-            })
+        yield (kind << bits) + int(own[a]), slice(int(a), int(b))
+
+
+def bits_for(size: int) -> int:
+    """Bits of the bucket for ``size`` bytes of text."""
+    return min(MAX_BITS, max(3, (size // BUCKET).bit_length()))
+
+
+def _count(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    for chunks, texts, targets in columns(batches, "chunk", "text", "target"):
+        for chunk, text, target in zip(chunks, texts, targets):
+            word, context, pair, counts = _cells(*text_buffer(text.values))
+            own = np.repeat(target.values.to_numpy(zero_copy_only=False).astype(np.int64), counts)
+            # A word and its use as a context share a key: rows are seen 0, 1, as a context 0, 1.
+            both = np.concatenate([own, own + 2])
+            for kind, seen, row in ((_WORD, np.concatenate([word, context]), both), (_PAIR, pair, own)):
+                keys, at = np.unique(seen, return_inverse=True)
+                n = np.bincount(row * len(keys) + at, minlength=_COUNTS[kind] * len(keys)).reshape(_COUNTS[kind], len(keys))
+                cut = list(_by_bucket(keys, kind, bits))
+                yield pa.RecordBatch.from_pydict({
+                    "chunk": pa.array([chunk.as_py()] * len(cut), pa.int64()),
+                    "bucket": pa.array([b for b, _ in cut], pa.int32()),
+                    "keys": pa.array([_packed(keys[s]) for _, s in cut], pa.binary()),
+                    "counts": pa.array([_narrow(n[:, s]) for _, s in cut], pa.binary()),
+                })
+    tidy()
 
 
 TABLE = "bucket int, keys binary, counts binary, known long, background long, target long"
@@ -131,9 +147,9 @@ def _rows(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(counts, axis=1)
 
 
-def _merge(table: pa.Table) -> pa.Table:
+def _merge(table: pa.Table, bits: int) -> pa.Table:
     bucket = table["bucket"][0].as_py()
-    keys, counts = _rows(table, bucket >> BUCKET_BITS)
+    keys, counts = _rows(table, bucket >> bits)
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -177,9 +193,10 @@ class Models:
 
     table: DataFrame
     mass: Mass
+    bits: int
 
     def _seen(self, kind: int, row: int, key) -> int:
-        bucket = (kind << BUCKET_BITS) + (int(key) >> (64 - BUCKET_BITS))
+        bucket = (kind << self.bits) + (int(key) >> (64 - self.bits))
         for r in self.table.where(F.col("bucket") == bucket).collect():
             keys = _unpacked(r["keys"])
             at = int(np.searchsorted(keys, np.uint64(key)))
@@ -208,24 +225,58 @@ class _One:
         return self.find(key)
 
 
+def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for cols in _chunks(batches, "text", "doc_id", "target"):
+        whole = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in cols]
+        yield pa.RecordBatch.from_arrays(whole, ["text", "doc_id", "target"])
+    tidy()
+
+
+def _stored_chunks(docs: DataFrame, target: DataFrame | None = None) -> DataFrame:
+    """``chunk, text, doc_id, target``: about ``CHUNK`` bytes of texts in a row, kept with the ids
+    and whether the id is in ``target``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if target is None:
+        rows = rows.withColumn("target", F.lit(False))
+    else:
+        ids = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
+        ids = stored(ids, "target")
+        chosen = ids.withColumn("target", F.lit(True))
+        if ids.count() <= BROADCAST_IDS:
+            chosen = F.broadcast(chosen)
+        rows = rows.join(chosen, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
+    packed = rows.mapInArrow(_pack, "text array<string>, doc_id array<long>, target array<boolean>")
+    return stored(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+
+
+def _bits_of(chunks: DataFrame) -> int:
+    size = F.aggregate("text", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0)))
+    return bits_for(chunks.agg(F.sum(size)).first()[0] or 0)
+
+
+def _counted(chunks: DataFrame, bits: int) -> DataFrame:
+    rows = chunks.select("chunk", "text", "target")
+    return rows.mapInArrow(partial(_count, bits=bits), "chunk long, bucket int, keys binary, counts binary")
+
+
+def _mass(table: DataFrame, bits: int) -> Mass:
+    words = table.where(F.col("bucket") < 1 << bits)
+    sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("background", "target", "known"))).first()
+    return Mass((sums["background"], sums["target"]), sums["known"])
+
+
 def train(docs: DataFrame, target: DataFrame) -> Models:
     """Count all texts; the documents whose ``doc_id`` is in ``target`` make its model, all
     others the background's."""
-    chosen = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
-    chosen = chosen.withColumn("target", F.lit(True))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(chosen, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    counted = rows.mapInArrow(_count, "bucket int, keys binary, counts binary")
-    table = stored(counted.groupBy("bucket").applyInArrow(_merge, TABLE), "ngrams")
-    words = table.where(F.col("bucket") < 1 << BUCKET_BITS)
-    sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("background", "target", "known"))).first()
-    return Models(table, Mass((sums["background"], sums["target"]), sums["known"]))
+    chunks = _stored_chunks(docs, target)
+    bits = _bits_of(chunks)
+    counted = _counted(chunks, bits).drop("chunk")
 
+    def merge(table: pa.Table) -> pa.Table:
+        return _merge(table, bits)
 
-def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for text, doc in _chunks(batches, "text", "doc_id"):
-        whole = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in (doc, text)]
-        yield pa.RecordBatch.from_arrays(whole, ["doc_id", "text"])
+    table = stored(counted.groupBy("bucket").applyInArrow(merge, TABLE), "ngrams")
+    return Models(table, _mass(table, bits), bits)
 
 
 def _keys(word: np.ndarray, pair: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -236,23 +287,24 @@ def _keys(word: np.ndarray, pair: np.ndarray) -> Iterator[tuple[int, np.ndarray,
             yield kind, *np.unique(of, return_inverse=True)
 
 
-def _ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     for chunks, texts in columns(batches, "chunk", "text"):
         for chunk, text in zip(chunks, texts):
             word, _, pair, _ = _cells(*text_buffer(text.values))
             for kind, keys, _ in _keys(word, pair):
-                cut = list(_by_bucket(keys, kind))
+                cut = list(_by_bucket(keys, kind, bits))
                 yield pa.RecordBatch.from_pydict({
                     "chunk": pa.array([chunk.as_py()] * len(cut), pa.int64()),
                     "bucket": pa.array([b for b, _ in cut], pa.int32()),
                     "keys": pa.array([_packed(keys[s]) for _, s in cut], pa.binary()),
                 })
+    tidy()
 
 
-def _answer(asked: pa.Table, table: pa.Table) -> pa.Table:
+def _answer(asked: pa.Table, table: pa.Table, bits: int) -> pa.Table:
     """Counts in the order of the keys that were asked for; none for unknown keys."""
     bucket = (asked if asked.num_rows else table)["bucket"][0].as_py()
-    keys, counts = _rows(table, bucket >> BUCKET_BITS)
+    keys, counts = _rows(table, bucket >> bits)
     keys, counts = np.append(keys, np.uint64(0)), np.pad(counts, ((0, 0), (0, 1)))
     out = []
     for wanted in asked["keys"].to_pylist():
@@ -262,13 +314,22 @@ def _answer(asked: pa.Table, table: pa.Table) -> pa.Table:
     return pa.table({"chunk": asked["chunk"], "bucket": asked["bucket"], "counts": pa.array(out, pa.binary())})
 
 
-def _score(chunk: pa.Table, answers: pa.Table, mass: Mass) -> pa.Table:
+def _settle(counted: pa.Table, bits: int) -> pa.Table:
+    """The answers to all chunks that counted in a bucket; the first row has the bucket's sums."""
+    table = _merge(counted, bits)
+    answers = _answer(counted, table, bits)
+    for name in ("known", "background", "target"):
+        answers = answers.append_column(name, pa.array([table[name][0].as_py()] + [0] * (len(answers) - 1), pa.int64()))
+    return answers
+
+
+def _score(chunk: pa.Table, answers: pa.Table, mass: Mass, bits: int) -> pa.Table:
     doc, text = (chunk[c].combine_chunks().flatten() for c in ("doc_id", "text"))
     word, _, pair, words = _cells(*text_buffer(text))
     told = dict(zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()))
     known, at = {}, {}
     for kind, keys, at[kind] in _keys(word, pair):
-        known[kind] = np.concatenate([_counts(told[b], s.stop - s.start, kind) for b, s in _by_bucket(keys, kind)], axis=1)
+        known[kind] = np.concatenate([_counts(told[b], s.stop - s.start, kind) for b, s in _by_bucket(keys, kind, bits)], axis=1)
     mean = np.zeros((2, len(words)))
     if known:
         ends = np.concatenate([[0], np.cumsum(words)])
@@ -292,12 +353,29 @@ def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
     background. An empty table gives no rows; columns besides ``doc_id`` and ``text`` are
     not looked at.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    packed = rows.mapInArrow(_pack, "doc_id array<long>, text array<string>")
-    chunks = stored(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
-    asked = chunks.select("chunk", "text").mapInArrow(_ask, "chunk long, bucket int, keys binary")
+    chunks, bits = _stored_chunks(docs), models.bits
+    asked = chunks.select("chunk", "text").mapInArrow(partial(_ask, bits=bits), "chunk long, bucket int, keys binary")
     tables = models.table.select("bucket", "keys", "counts").groupBy("bucket")
-    answers = asked.groupBy("bucket").cogroup(tables).applyInArrow(_answer, "chunk long, bucket int, counts binary")
-    answers = stored(answers, "answers")
+    answers = asked.groupBy("bucket").cogroup(tables).applyInArrow(partial(_answer, bits=bits), "chunk long, bucket int, counts binary")
+    return _scored(chunks, stored(answers, "answers"), models.mass, bits)
+
+
+def _scored(chunks: DataFrame, answers: DataFrame, mass: Mass, bits: int) -> DataFrame:
     schema = "doc_id long, n_words long, target_loss double, background_loss double, score double"
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(partial(_score, mass=models.mass), schema)
+    own = chunks.select("chunk", "doc_id", "text").groupBy("chunk")
+    answers = answers.select("chunk", "bucket", "counts").groupBy("chunk")
+    return own.cogroup(answers).applyInArrow(partial(_score, mass=mass, bits=bits), schema)
+
+
+def score_corpus(docs: DataFrame, target: DataFrame) -> DataFrame:
+    """The rows of ``cross_entropy_difference(docs, train(docs, target))``, with the texts read
+    and each chunk's n-grams sent to their buckets once instead of twice."""
+    chunks = _stored_chunks(docs, target)
+    bits = _bits_of(chunks)
+
+    def settle(counted: pa.Table) -> pa.Table:
+        return _settle(counted, bits)
+
+    schema = "chunk long, bucket int, counts binary, known long, background long, target long"
+    answers = stored(_counted(chunks, bits).groupBy("bucket").applyInArrow(settle, schema), "answers")
+    return _scored(chunks, answers, _mass(answers, bits), bits)

@@ -48,10 +48,9 @@ def op6_suffix(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Target: the documents labelled as good."""
-    from .lm import cross_entropy_difference, train
+    from .lm import score_corpus
 
-    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    return cross_entropy_difference(docs, train(docs, labels.where("quality = 1")))
+    return score_corpus(_table(spark, folder, "documents"), _table(spark, folder, "labels").where("quality = 1"))
 
 
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:

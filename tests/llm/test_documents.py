@@ -159,14 +159,18 @@ def test_lm_scores_by_brute_force(spark, docs, none):
         loss -= np.log2((models.pair[1][p] + lm.PRIOR * alone) / (models.context[1][c] + lm.PRIOR))
     assert found[4].target_loss == pytest.approx(loss / len(word), rel=1e-5)
     assert lm.cross_entropy_difference(none, lm.train(none, labels)).count() == 0
+    whole = lm.score_corpus(docs, labels).collect()
+    assert Counter(map(tuple, whole)) == Counter(map(tuple, lm.cross_entropy_difference(docs, models).collect()))
+    assert lm.score_corpus(none, labels).count() == 0 and lm.score_corpus(docs, none).count() == len(whole)
 
 
-def test_lm_counts_every_bigram_by_itself(spark):
+def test_lm_counts_every_bigram_by_itself(spark, monkeypatch):
     # A million and a half distinct bigrams: no table of fixed size keeps them apart.
     n, size = 300, 2500
     texts = [" ".join(f"w{(i * size + j) * 7919 % 1_000_003}x{j % 3}" for j in range(2 * size)) for i in range(n)]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
-    models = lm.train(table, spark.range(0, n, 3).withColumnRenamed("id", "doc_id"))
+    target = spark.range(0, n, 3).withColumnRenamed("id", "doc_id")
+    models = lm.train(table, target)
     words, contexts, pairs = (tuple(Counter() for _ in "01") for _ in range(3))
     for i, t in enumerate(texts):
         own = t.split()
@@ -180,6 +184,8 @@ def test_lm_counts_every_bigram_by_itself(spark):
     assert len(pairs[0] | pairs[1]) > 1 << 20 and known > lm.VOCABULARY and models.mass == lm.Mass(tuple(total), known)
     found = {r.doc_id: r for r in lm.cross_entropy_difference(table, models).collect()}
     assert len(found) == n
+    monkeypatch.setattr(lm, "BROADCAST_IDS", 5)  # more ids than are broadcast
+    assert {r.doc_id: r for r in lm.score_corpus(table, target).collect()} == found
     for i in range(0, n, 37):
         own, losses = texts[i].split(), []
         for k in (0, 1):
