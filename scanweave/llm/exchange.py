@@ -42,11 +42,18 @@ def stored(df: DataFrame, label: str, *, release: bool = True) -> DataFrame:
     spark = df.sparkSession
     out = materialize(df, scratch_dir(spark, label))
     if release:
-        gc.collect()
-        spark._jvm.System.gc()
+        release_steps(spark)
     return out
 
 
+def release_steps(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that nothing refers to any more. The last
+    step is still referred to right after its end: where its files are large, call this
+    again after the next small job."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def buckets(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

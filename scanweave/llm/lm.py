@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .exchange import columns, stored, tidy
+from .exchange import columns, release_steps, stored, tidy
 from .textbytes import mix, pieces, text_buffer, word_hashes, word_spans
 
 #: Mass of the prior in each context, in words; mass of the uniform part per word.
@@ -262,6 +262,7 @@ def _counted(chunks: DataFrame, bits: int) -> DataFrame:
 def _mass(table: DataFrame, bits: int) -> Mass:
     words = table.where(F.col("bucket") < 1 << bits)
     sums = words.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("background", "target", "known"))).first()
+    release_steps(table.sparkSession)
     return Mass((sums["background"], sums["target"]), sums["known"])
 
 
