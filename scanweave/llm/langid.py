@@ -117,7 +117,7 @@ def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE) -> Model:
 def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bits of each text in each language: ``(texts, languages)``."""
     symbols, out = model.cost.shape[-1], np.zeros((len(offsets) - 1, len(model.languages)))
-    tables = model.cost.reshape(len(model.languages), -1)
+    tables = [own.ravel() for own in model.cost]  # none if nothing was learned
     for a, b in pieces(offsets):
         own = offsets[a : b + 1] - offsets[a]
         x = model.codes[raw[offsets[a] : offsets[b]]]
