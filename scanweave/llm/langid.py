@@ -24,6 +24,8 @@ from .textbytes import pieces, text_buffer
 ORDER = 2
 #: Bound of the training sample: documents of each language.
 DOCS_PER_LANGUAGE = 1500
+#: Parts of a language in the search for its sample.
+SAMPLE_PARTS = 64
 UNDETERMINED = "und"
 
 
@@ -90,10 +92,15 @@ def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Fit on at most ``per_language`` documents of each language: those outside fold 0 with
     a text and a language whose hashed id is least. Whole texts are counted."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Row limits in a window are pushed below its shuffle: each task sends that many rows.
-    chosen = usable.select("doc_id", "lang").withColumn("place", F.row_number().over(least))
-    chosen = chosen.where(F.col("place") <= per_language).select("doc_id", "lang").distinct()
+    order = (F.xxhash64("doc_id"), F.col("doc_id"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_PARTS))
+    chosen = usable.select("doc_id", "lang", part.alias("part"))
+    # A language is cut into parts first, so that a frequent one is not ordered in one task; its
+    # least ids are among the least of its parts.
+    for keys in (("lang", "part"), ("lang",)):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        chosen = chosen.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+    chosen = chosen.select("doc_id", "lang").distinct()
     sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     counted = sample.select("lang", F.col("text").cast("string")).mapInArrow(_train, "lang string, gram int, n long")
     rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # three-byte grams of the sample
