@@ -357,3 +357,49 @@ def test_pipeline(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, before, SMALL)
     assert {r.doc_id for r in packed.collect()} == kept
     assert kept < {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_stages_on_odd_rows(spark, docs, none, tmp_path):
+    import corpus_pipeline
+
+    def through(table, folder):
+        table.withColumn("n_chars", F.length("text").cast("long")).write.parquet(str(folder / "documents.parquet"))
+        rows, out = spark.read.parquet(str(folder / "documents.parquet")), []
+        for name, stage in corpus_pipeline.STAGES:
+            stage(spark, rows, str(folder)).write.parquet(str(folder / name))
+            rows = spark.read.parquet(str(folder / name))
+            out.append(rows)
+        return out
+
+    found = through(docs, tmp_path / "odd")
+    assert all(tuple(t.columns) == corpus_pipeline.COLUMNS for t in found[:-1])
+    language, copies, strings, mixed, packed = (t.collect() for t in found)
+    # Texts without a letter have no language; the repeated row is there twice until copies go.
+    lettered = [i for i, t in enumerate(TEXTS) if t and any(c.isalpha() for c in t)]
+    assert Counter(r.doc_id for r in language) == Counter([*lettered, 4, None])
+    assert Counter(r.doc_id for r in copies) == Counter([*lettered, None])
+    # Every byte goes that a string of 100 bytes covers which starts earlier as well.
+    seen, left = set(), {}
+    for i in lettered:
+        data = TEXTS[i].encode()
+        keep, until = bytearray(), 0
+        for at in range(len(data)):
+            string = data[at : at + 100]
+            until = at + 100 if len(string) == 100 and string in seen else until
+            seen.add(string if len(string) == 100 else None)
+            if at >= until:
+                keep.append(data[at])
+        left[i] = keep.decode("utf-8", "ignore")
+    assert len(left[11]) == 1 and len(left[12]) < 200  # repeats of a letter, of a phrase
+    assert {r.doc_id: r.text for r in strings if r.doc_id is not None} == left
+    assert len(strings) == len(copies) and all(r.n_chars == len(r.text) for r in strings)
+    assert Counter(r.doc_id for r in mixed) <= Counter(r.doc_id for r in strings)
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    wanted = Counter(r.doc_id for r in mixed)
+    placed = Counter()
+    for r in packed:
+        placed[r.doc_id] += r.length
+    for r in mixed:
+        placed[r.doc_id] -= len(own.encode(r.text, add_special_tokens=False).ids) + 1
+    assert wanted.keys() == {r.doc_id for r in packed} and not any(placed.values())
+    assert [t.count() for t in through(none, tmp_path / "none")] == [0] * len(corpus_pipeline.STAGES)
