@@ -3,29 +3,42 @@
 Each language has a variable-order context tree over bytes, trained on a bounded sample
 of labelled documents and then frozen. A byte's code length in a context is the sum of
 the escapes from every context that has not seen it, and its own share in the first that
-has. With frozen counts that is a function of the context and the byte, so the trees
-are compiled to one table of code lengths per language before anything is scored.
+has. Contexts have up to four bytes; how long they get depends on what the sample holds,
+since a context enters the trees only if it was seen often enough.
+
+With frozen counts a code length is a function of the context and the byte. So the trees of
+all languages are compiled to one table: a row for each string of a context and a byte that
+any tree has, with its code length in every language, and a row of escapes for each context.
+A byte takes the row of its longest string there is, plus the escapes of longer contexts.
+Code lengths are whole multiples of 2**-16 bits, so sums are exact in any order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .exchange import columns
-from .textbytes import pieces, text_buffer
+from .exchange import columns, stored
+from .textbytes import text_buffer
 
 #: Longest context in bytes.
-ORDER = 2
+ORDER = 4
 #: Bound of the training sample: documents of each language.
 DOCS_PER_LANGUAGE = 1500
+#: Least number of times that a context must be in the sample to enter the trees.
+LEAST_SEEN = 4
+#: Bounds of the model, which is broadcast: strings of all languages together (those of the most
+#: frequent contexts stay), and bytes of their code lengths.
+STRINGS, MODEL_BYTES = 400_000, 32 << 20
 #: Parts of a language in the search for its sample.
 SAMPLE_PARTS = 64
+#: Bytes that are looked at together.
+SEGMENT = 1 << 18
 UNDETERMINED = "und"
 
 
@@ -36,61 +49,133 @@ def fold(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """``codes`` maps a byte to its symbol; ``cost[l, c1, c2, s]`` are bits."""
+    """``cost[l, r]`` are bits of row ``r`` in a language. Rows 0 to 255 are bytes without a
+    context; ``keys`` and ``rows`` are a hash table from a string (``_tagged``) to its row."""
 
     languages: tuple[str, ...]
-    codes: np.ndarray
+    keys: np.ndarray
+    rows: np.ndarray
     cost: np.ndarray
 
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The row of each string, -1 for those without one."""
+        out, left = np.full(len(wanted), -1, np.int64), np.arange(len(wanted))
+        slot = _slots(wanted, len(self.keys))
+        while len(left):
+            there = self.keys[slot]
+            hit = there == wanted[left]
+            out[left[hit]] = self.rows[slot[hit]]
+            on = ~hit & (there != 0)
+            left, slot = left[on], slot[on] + 1 & len(self.keys) - 1
+        return out
+
+
+def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+    spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (spread >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def _hash_table(keys: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Open addressing with linear steps, at most a quarter full; 0 is an empty place."""
+    size = 1 << max(2, (4 * len(keys)).bit_length())
+    held, to, slot = np.zeros(size, np.int64), np.zeros(size, np.int32), _slots(keys, size)
+    while len(keys):
+        free = np.flatnonzero(held[slot] == 0)
+        taken = free[np.unique(slot[free], return_index=True)[1]]
+        held[slot[taken]], to[slot[taken]] = keys[taken], rows[taken]
+        left = np.ones(len(keys), bool)
+        left[taken] = False
+        keys, rows, slot = keys[left], rows[left], slot[left] + 1 & size - 1
+    return held, to
+
+
+def _tagged(order: int, string: np.ndarray, context: bool = False) -> np.ndarray:
+    """A key for a string of a context of ``order`` bytes and a byte, or of a context alone."""
+    return string | (order + (ORDER + 1 if context else 0)) << 8 * (ORDER + 1)
+
 
-def _grams(raw: np.ndarray, offsets: np.ndarray, lower: bool = True) -> np.ndarray:
-    """Index of every byte with the two before it; a text starts after two zero bytes."""
-    x = raw.astype(np.int64)
-    one, two = np.zeros_like(x), np.zeros_like(x)
-    one[1:], two[2:] = x[:-1], x[:-2]
-    first = offsets[:-1][np.diff(offsets) > 0]
-    one[first] = 0
-    two[first] = 0
-    after = first[first + 1 < len(x)] + 1
-    two[after] = 0
-    return two << 16 | one << 8 | x
+def _tail(length: int) -> int:
+    return (1 << 8 * length) - 1
+
+
+def strings(raw: np.ndarray, offsets: np.ndarray, a: int, b: int) -> np.ndarray:
+    """Each of the bytes from ``a`` to ``b`` with the ``ORDER`` before it in its text, as one
+    number; a text starts after zero bytes."""
+    lead = max(a - ORDER, 0)
+    x = np.zeros(ORDER + b - a, np.int64)
+    x[ORDER - (a - lead) :] = raw[lead:b]
+    out = reduce(np.bitwise_or, (x[ORDER - j : len(x) - j] << 8 * j for j in range(ORDER + 1)))
+    first = offsets[np.searchsorted(offsets, a - ORDER, "right") : np.searchsorted(offsets, b, "left")]
+    first = np.unique(np.append(first, 0))
+    for k in range(ORDER):
+        at = first + k - a
+        out[at[(at >= 0) & (at < b - a)]] &= _tail(k + 1)
+    return out
 
 
 def _train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, text in columns(batches, "lang", "text"):
         for name in lang.unique().to_pylist():
             raw, offsets = text_buffer(text.filter(pa.compute.equal(lang, name)))
-            for a, b in pieces(offsets):
-                own = offsets[a : b + 1] - offsets[a]
-                grams, counts = np.unique(_grams(raw[offsets[a] : offsets[b]], own), return_counts=True)
-                yield pa.RecordBatch.from_pydict(
-                    {"lang": pa.array([name] * len(grams), pa.string()), "gram": grams.astype(np.int32), "n": counts}
-                )
+            for a in range(0, len(raw), 8 * SEGMENT):
+                found, counts = np.unique(strings(raw, offsets, a, min(a + 8 * SEGMENT, len(raw))), return_counts=True)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(found), pa.string()), "string": found, "n": counts})
+
 
+def _rounded(bits: np.ndarray) -> np.ndarray:
+    return np.round(bits * 65536) / 65536
 
-def compile_costs(grams: np.ndarray, counts: np.ndarray, symbols: int) -> np.ndarray:
-    """Code lengths in bits of every symbol after every two symbols.
 
-    Order -1 is uniform. In a context with total ``t`` and ``d`` distinct symbols a seen
-    symbol has ``n / (t + d)`` and the escape ``d / (t + d)`` (method C).
+def compile_trees(lang: np.ndarray, order: np.ndarray, string: np.ndarray, n: np.ndarray, languages: tuple[str, ...]) -> Model:
+    """The model of counts ``n``: how often a language (by number) has a string of ``order`` bytes
+    and one more.
+
+    Order -1 is uniform. In a context with total ``t`` and ``d`` distinct bytes a seen
+    byte has ``n / (t + d)`` and the escape ``d / (t + d)`` (method C). A language whose tree
+    lacks a context goes on with the shorter one at no cost.
     """
-    shape = (symbols,) * 3
-    by_two = np.zeros(symbols**3)
-    np.add.at(by_two, grams, counts)
-    by_two = by_two.reshape(shape)
-    cost = np.full(symbols, np.log2(symbols))
-    for seen in (by_two.sum(axis=(0, 1)), by_two.sum(axis=0), by_two):
-        total, kinds = seen.sum(axis=-1, keepdims=True), (seen > 0).sum(axis=-1, keepdims=True)
+    shorter, before = np.arange(256), np.full((256, len(languages)), 8.0)
+    blocks, keys, rows, size = [], [], [], 0
+    for o in range(ORDER + 1):
+        own = order == o
+        joint, at = np.unique(string[own], return_inverse=True)
+        if o == 0:  # every byte has a row
+            joint, at = np.arange(256), string[own]
+        elif not len(joint):
+            break
+        count = np.zeros((len(joint), len(languages)))
+        count[at, lang[own]] = n[own]
+        contexts, start = np.unique(joint >> 8, return_index=True)
+        of = np.repeat(np.arange(len(contexts)), np.diff(np.append(start, len(joint))))
+        total, kinds = np.add.reduceat(count, start), np.add.reduceat((count > 0).astype(float), start)
         with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.log2(total + kinds) - np.log2(seen)
-            escape = np.where(kinds > 0, np.log2(total + kinds) - np.log2(kinds), 0.0)
-        cost = np.where(seen > 0, own, escape + cost)
-    return cost.astype(np.float32)
+            escape = _rounded(np.where(kinds > 0, np.log2(total + kinds) - np.log2(kinds), 0.0))
+            seen = _rounded(np.log2(total + kinds)[of] - np.log2(count))
+        further = before[np.searchsorted(shorter, joint & _tail(max(o, 1)))]
+        before = np.where(count > 0, seen, escape[of] + further)
+        shorter = joint
+        blocks.append(before)
+        if o:
+            keys += [_tagged(o, joint), _tagged(o, contexts, context=True)]
+            rows.append(np.arange(size, size + len(joint) + len(contexts)))
+            blocks.append(escape)
+        size += len(joint) + (len(contexts) if o else 0)
+    table = _hash_table(*(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, rows)))
+    return Model(languages, *table, np.ascontiguousarray(np.concatenate(blocks).T.astype(np.float32)))
+
+
+def _threshold(tree: DataFrame, room: int, least: int) -> int:
+    """The least number of times a context must be seen so that no more than ``room`` strings
+    stay. There are fewer different numbers than the square root of twice the sample's bytes."""
+    numbers = tree.where("`order` > 0").groupBy("seen").count().toPandas().sort_values("seen", ascending=False)
+    fits = numbers["seen"][numbers["count"].cumsum() <= room]
+    return max(least, int(fits.min())) if len(fits) else (int(numbers["seen"].max()) + 1 if len(numbers) else least)
 
 
-def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE) -> Model:
+def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE, least: int = LEAST_SEEN) -> Model:
     """Fit on at most ``per_language`` documents of each language: those outside fold 0 with
-    a text and a language whose hashed id is least. Whole texts are counted."""
+    a text and a language whose hashed id is least. Whole texts are counted. Contexts seen fewer
+    than ``least`` times are not in the trees, nor the rarest beyond the bounds of the model."""
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
     part = F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_PARTS))
@@ -102,41 +187,40 @@ def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE) -> Model:
         chosen = chosen.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
     chosen = chosen.select("doc_id", "lang").distinct()
     sample = usable.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
-    counted = sample.select("lang", F.col("text").cast("string")).mapInArrow(_train, "lang string, gram int, n long")
-    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # three-byte grams of the sample
-    if rows.empty:
-        return Model((), np.zeros(256, np.int64), np.zeros((0, 1, 1, 1), np.float32))
-    grams = rows["gram"].to_numpy().astype(np.int64)
-    parts = [grams >> 16, grams >> 8 & 255, grams & 255]
-    alphabet = np.unique(np.concatenate([[0], *parts]))
-    size = len(alphabet) + 1  # the last symbol stands for every byte not in the sample
-    codes = np.full(256, size - 1, np.int64)
-    codes[alphabet] = np.arange(len(alphabet))
-    index = (codes[parts[0]] * size + codes[parts[1]]) * size + codes[parts[2]]
-    languages = tuple(sorted(rows["lang"].unique()))
-    cost = [
-        compile_costs(index[own], rows["n"].to_numpy()[own], size)
-        for own in (rows["lang"].to_numpy() == name for name in languages)
-    ]
-    return Model(languages, codes, np.stack(cost))
+    counted = sample.select("lang", F.col("text").cast("string")).mapInArrow(_train, "lang string, string long, n long")
+    counted = counted.groupBy("lang", "string").agg(F.sum("n").alias("n"))
+    # Each byte gave one string, so shorter ones are counted by adding up.
+    cut = [F.struct(F.lit(o).alias("order"), F.col("string").bitwiseAND(_tail(o + 1)).alias("string")) for o in range(ORDER + 1)]
+    every = counted.select("lang", "n", F.explode(F.array(*cut)).alias("at")).select("lang", "n", "at.*")
+    every = every.groupBy("lang", "order", "string").agg(F.sum("n").alias("n"))
+    context = Window.partitionBy("order", F.shiftright("string", 8))  # 256 rows a language at most
+    tree = stored(every.withColumn("seen", F.sum("n").over(context)), "tree")
+    languages = tuple(sorted(r["lang"] for r in tree.select("lang").distinct().collect()))
+    room = min(STRINGS, MODEL_BYTES // (4 * max(1, len(languages))))
+    rows = tree.where((F.col("order") == 0) | (F.col("seen") >= _threshold(tree, room, least))).toPandas()  # the bound above
+    lang = np.searchsorted(np.array(languages, object), rows["lang"].to_numpy(object)) if len(rows) else np.zeros(0, np.int64)
+    return compile_trees(lang, *(rows[c].to_numpy().astype(np.int64) for c in ("order", "string", "n")), languages)
 
 
 def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bits of each text in each language: ``(texts, languages)``."""
-    symbols, out = model.cost.shape[-1], np.zeros((len(offsets) - 1, len(model.languages)))
-    tables = [own.ravel() for own in model.cost]  # none if nothing was learned
-    for a, b in pieces(offsets):
-        own = offsets[a : b + 1] - offsets[a]
-        x = model.codes[raw[offsets[a] : offsets[b]]]
-        one, two = np.full_like(x, model.codes[0]), np.full_like(x, model.codes[0])
-        one[1:], two[2:] = x[:-1], x[:-2]
-        first = own[:-1][np.diff(own) > 0]
-        one[first] = two[first] = model.codes[0]
-        two[first[first + 1 < len(x)] + 1] = model.codes[0]
-        at = (two * symbols + one) * symbols + x
-        for k, table in enumerate(tables):
-            sums = np.concatenate([[0.0], np.cumsum(table[at], dtype=np.float64)])
-            out[a:b, k] = sums[own[1:]] - sums[own[:-1]]
+    out = np.zeros((len(offsets) - 1, len(model.languages)))
+    for a in range(0, len(raw), SEGMENT):
+        b = min(a + SEGMENT, len(raw))
+        first, last = np.searchsorted(offsets, (a, b - 1), "right") - 1
+        text = np.repeat(np.arange(last + 1 - first), np.diff(np.clip(offsets[first : last + 2], a, b)))
+        string = strings(raw, offsets, a, b)
+        row, left, escapes = string & 255, np.arange(b - a), []
+        for o in range(ORDER, 0, -1):
+            found = model.find(_tagged(o, string[left] & _tail(o + 1)))
+            row[left[found >= 0]] = found[found >= 0]
+            left = left[found < 0]
+            escape = model.find(_tagged(o, string[left] >> 8 & _tail(o), context=True))
+            escapes.append((left[escape >= 0], escape[escape >= 0]))
+        at, more = (np.concatenate(x) for x in zip(*escapes))
+        of, row = np.concatenate([text, text[at]]), np.concatenate([row, more])
+        for k, cost in enumerate(model.cost):
+            out[first : last + 1, k] += np.bincount(of, cost[row], last + 1 - first)
     return out
 
 

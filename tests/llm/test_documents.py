@@ -114,33 +114,48 @@ def test_language(spark, docs, none):
     assert len(unlearned) == docs.count() and {r.lang_pred for r in unlearned} == {"und"}
 
 
-def test_code_lengths_are_those_of_the_tree():
-    text, grams = b"abracadabra", Counter()
-    padded = b"\0\0" + text
-    for i in range(len(text)):
-        grams[tuple(padded[i : i + 3])] += 1
-    codes = {c: i for i, c in enumerate(sorted({0, *text}))}
-    size = len(codes) + 1
-    index = np.array([(codes[a] * size + codes[b]) * size + codes[c] for a, b, c in grams])
-    cost = langid.compile_costs(index, np.array(list(grams.values())), size)
-
-    def bits(context, symbol):  # longest context first
+@pytest.mark.parametrize("least, segment, room", [(1, 7, 10**6), (3, 1 << 18, 10**6), (2, 64, 60)])
+def test_code_lengths_are_those_of_the_trees(spark, monkeypatch, least, segment, room):
+    monkeypatch.setattr(langid, "SEGMENT", segment)
+    monkeypatch.setattr(langid, "STRINGS", room)
+    known = {"a": ["abracadabra", "abra kadabra abra", "", "z"], "b": ["brabant und ab", "ünd brab", "abrab" * 9]}
+    rows = [(lang, t) for lang, ts in known.items() for t in ts]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5]
+    table = spark.createDataFrame([(i, t, lang) for i, (lang, t) in zip(ids, rows)], "doc_id long, text string, lang string")
+    model = langid.train(table, least=least)
+    counts = {lang: Counter() for lang in known}  # (context, byte), contexts of 0 to 4 bytes
+    for lang, text in rows:
+        data = bytes(4) + text.encode()
+        counts[lang].update((data[i - o : i], data[i]) for i in range(4, len(data)) for o in range(5))
+    seen = Counter()
+    for own in counts.values():
+        for (context, _), n in own.items():
+            seen[context] += n
+    limit = least
+    while sum(len(c) > 0 and seen[c] >= limit for own in counts.values() for c, _ in own) > room:
+        limit += 1
+    assert (limit > least) == (room == 60)
+
+    def bits(lang, context, byte):  # longest context first
         total = 0.0
-        for k in range(len(context), -1, -1):
-            seen = Counter()
-            for g, n in grams.items():
-                if k == 0 or g[2 - k : 2] == context[len(context) - k :]:
-                    seen[g[2]] += n
-            if seen[symbol]:
-                return total + np.log2((sum(seen.values()) + len(seen)) / seen[symbol])
-            if seen:
-                total += np.log2((sum(seen.values()) + len(seen)) / len(seen))
-        return total + np.log2(size)
-
-    for context in ((97, 98), (0, 0), (100, 97), (122, 97)):
-        for symbol in (97, 98, 114, 0):
-            ids = [codes.get(c, size - 1) for c in context]
-            assert cost[ids[0], ids[1], codes[symbol]] == pytest.approx(bits(context, symbol), rel=1e-5)
+        for o in range(4, -1, -1):
+            c = context[4 - o :]
+            own = {b: n for (k, b), n in counts[lang].items() if k == c} if not o or seen[c] >= limit else {}
+            if byte in own:
+                return total + np.log2((sum(own.values()) + len(own)) / own[byte])
+            if own:
+                total += np.log2((sum(own.values()) + len(own)) / len(own))
+        return total + 8
+
+    texts = ["abrakadab", "", "ü", "nothing like it \0\0", "", "abrab" * 7]
+    data = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, data)])
+    got = langid.code_lengths(model, np.frombuffer(b"".join(data), np.uint8), offsets)
+    assert model.languages == ("a", "b")
+    for i, d in enumerate(data):
+        padded = bytes(4) + d
+        want = [sum(bits(lang, padded[j : j + 4], d[j]) for j in range(len(d))) for lang in known]
+        assert got[i] == pytest.approx(want, abs=1e-4 * (len(d) + 1))
 
 
 def test_lm_scores_by_brute_force(spark, docs, none):
