@@ -17,8 +17,9 @@ from .exchange import row_key, stored, unused
 
 LEVELS = ("domain", "lang", "source")
 UNKNOWN = "unknown"
-#: Leaves that a tree may have: what the driver and each task hold of it.
-MAX_LEAVES = 100_000
+#: Leaves of a tree that the driver fills and that are broadcast; larger trees are filled by
+#: windows and joined by their leaves.
+SMALL_TREE = 100_000
 #: Steps of the order's hash; a step's documents are ordered in one task.
 _STEP_BITS = 12
 #: Fixed values of the test tables: the domain of a source is told by its hash.
@@ -80,6 +81,45 @@ def budgets(leaves: Mapping[tuple[str, ...], int], target: Target) -> dict[tuple
     return out
 
 
+def flowed(leaves: DataFrame, target: Target) -> DataFrame:
+    """``_leaf, tokens, budget``: as ``budgets`` (to a token, for rounding) for a table ``_leaf,
+    tokens`` of any size.
+
+    Below one parent, children fill up in the order of their room for each unit of weight. A
+    child is full if the level at which the budget would end among it and those after it is
+    above its own; from the first that is not, all get that level. Running sums tell, so a
+    window passes over its sorted children and keeps none of them.
+    """
+    total = target.total
+    if total is None:
+        total = int(target.share * (leaves.agg(F.sum("tokens")).first()[0] or 0))
+    nodes, budget = leaves.select(*(F.col(f"_leaf.{n}").alias(n) for n in LEVELS), "tokens"), None
+    for i, level in enumerate(LEVELS):
+        parent = list(LEVELS[:i])
+        weights = [F.when(F.col(level) == name, F.lit(float(w))) for name, w in target.weights.get(level, {}).items()]
+        own = nodes.groupBy(*parent, level).agg((F.sum("tokens") * target.epochs).cast("double").alias("room"))
+        own = own.withColumn("weight", F.coalesce(*weights, F.lit(1.0))).where("weight > 0")
+        own = own.join(budget, parent) if parent else own.withColumn("given", F.lit(float(total)))
+        weight = own.groupBy(*parent).agg(F.sum("weight").alias("weights"))
+        own = own.join(weight, parent) if parent else own.join(F.broadcast(weight))  # one row
+        own = own.withColumn("own_level", F.col("room") / F.col("weight"))
+        order = Window.partitionBy(*parent).orderBy("own_level", level)
+        before = order.rowsBetween(Window.unboundedPreceding, -1)
+        used, passed = (F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in ("room", "weight"))
+        own = own.withColumn("level", (F.col("given") - used) / F.greatest(F.col("weights") - passed, "weight"))
+        short = F.when(F.col("own_level") > F.col("level"), F.col("level"))
+        ends = F.first(short, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        got = F.when(ends.isNull(), F.col("room")).otherwise(F.greatest(ends, F.lit(0.0)) * F.col("weight"))
+        budget = own.select(*parent, level, got.alias("given"))
+    budget = budget.select(F.struct(*LEVELS).alias("_leaf"), F.floor(F.col("given") + 1e-6).cast("long").alias("budget"))
+    return leaves.join(budget, "_leaf", "left").select("_leaf", "tokens", F.coalesce("budget", F.lit(0)).alias("budget"))
+
+
+def _lookup(table: DataFrame, leaves: int) -> DataFrame:
+    """A table with one row per leaf as the side of a join: broadcast if the tree is small."""
+    return F.broadcast(table) if leaves <= SMALL_TREE else table
+
+
 def _words(text: Column) -> Column:
     inner = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
     return F.when(inner == "", 0).otherwise(F.size(F.split(inner, "[ \t-\r]+"))).cast("long")
@@ -102,16 +142,19 @@ def cuts(rows: DataFrame, target: Target) -> DataFrame:
     next epoch is read. ``rows`` as by ``placed``."""
     spark = rows.sparkSession
     sizes = stored(rows.select("_leaf", "_tokens", "_row"), "leaves")
-    found = sizes.groupBy("_leaf").agg(F.sum("_tokens").alias("tokens")).limit(MAX_LEAVES + 1).collect()
-    if len(found) > MAX_LEAVES:
-        raise ValueError(f"more than {MAX_LEAVES} leaves")
-    leaves = {tuple(r["_leaf"]): r["tokens"] for r in found}
-    plan = [(k, leaves[k], b, b // leaves[k] if leaves[k] else 0) for k, b in budgets(leaves, target).items()]
-    schema = "_leaf struct<domain string, lang string, source string>, tokens long, budget long, whole long"
-    plan = F.broadcast(spark.createDataFrame(plan, schema).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")))
+    leaves = stored(sizes.groupBy("_leaf").agg(F.sum("_tokens").alias("tokens")), "tree")
+    count = leaves.count()
+    if count <= SMALL_TREE:
+        held = {tuple(r["_leaf"]): r["tokens"] for r in leaves.collect()}
+        schema = "_leaf struct<domain string, lang string, source string>, tokens long, budget long"
+        plan = spark.createDataFrame([(k, held[k], b) for k, b in budgets(held, target).items()], schema)
+    else:
+        plan = stored(flowed(leaves, target), "budgets")
+    plan = plan.withColumn("whole", F.when(F.col("tokens") > 0, F.expr("budget div nullif(tokens, 0)")).otherwise(0))
+    plan = plan.withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
 
     # Where whole epochs use up the budget nothing of the next one is read, not even texts without tokens.
-    keyed = sizes.join(plan, "_leaf").where(F.col("rest") > 0).select("_leaf", "_tokens", "rest", _order(target.seed, F.col("whole")).alias("h"))
+    keyed = sizes.join(_lookup(plan, count), "_leaf").where(F.col("rest") > 0).select("_leaf", "_tokens", "rest", _order(target.seed, F.col("whole")).alias("h"))
     step = F.shiftright("h", 64 - _STEP_BITS)
     keyed = keyed.withColumn("step", step)
     sums = keyed.groupBy("_leaf", "rest", "step").agg(F.sum("_tokens").alias("in_step"), F.max("h").alias("last"))
@@ -120,7 +163,7 @@ def cuts(rows: DataFrame, target: Target) -> DataFrame:
     whole = sums.where(F.col("before") + F.col("in_step") <= F.col("rest")).groupBy("_leaf").agg(F.max("last").alias("cut"))
     # The step in which the budget ends: one per leaf, ordered row by row.
     split = sums.where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("in_step") > F.col("rest")))
-    split = keyed.join(F.broadcast(split.select("_leaf", "step", "before")), ["_leaf", "step"])
+    split = keyed.join(_lookup(split.select("_leaf", "step", "before"), count), ["_leaf", "step"])
     upto = Window.partitionBy("_leaf", "step").orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     split = split.withColumn("total", F.col("before") + F.sum("_tokens").over(upto))
     inside = split.where(F.col("total") <= F.col("rest")).groupBy("_leaf").agg(F.max("h").alias("inner_cut"))
@@ -141,7 +184,7 @@ def mix_sources(docs: DataFrame, target: Target, domain: Column | None = None) -
     """
     rows = placed(docs, domain)
     plan = cuts(rows, target).select("_leaf", F.struct("whole", "cut").alias(name := unused(docs, "_plan")))
-    chosen = rows.join(F.broadcast(plan), "_leaf")  # MAX_LEAVES rows at most
+    chosen = rows.join(_lookup(plan, plan.count()), "_leaf")
     whole, cut = F.col(f"{name}.whole"), F.col(f"{name}.cut")
     epochs = F.array_compact(F.concat(
         F.when(whole > 0, F.sequence(F.lit(0).cast("long"), whole - 1)).otherwise(F.array().cast("array<long>")),

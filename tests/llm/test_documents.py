@@ -258,6 +258,27 @@ def test_mixing_takes_a_prefix_of_each_order(spark, docs, none):
     assert mixing.mix_sources(docs, mixing.Target()).count() == docs.count()
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_large_trees_are_filled_alike(spark, monkeypatch, seed):
+    rng = np.random.RandomState(seed)
+    paths = {(f"d{a}", f"l{b}", f"s{c}") for a, b, c in rng.randint(0, (4, 5, 12), (150, 3))}
+    leaves = {p: int(n) for p, n in zip(sorted(paths), rng.choice([0, 1, 7, 50, 900, 20_000], len(paths)))}
+    table = spark.createDataFrame(list(leaves.items()), "_leaf struct<domain string, lang string, source string>, tokens long")
+    weights = {"domain": {"d1": 2.5, "d2": 0.0}, "lang": {"l0": 0.1, "l3": 7.0}, "source": {"s4": 0.0, "s5": 3.0}}
+    for share in (0.0, 0.1, 0.6, 1.0, 3.0):
+        target = mixing.Target(weights=weights, share=share, epochs=2)
+        got = {tuple(r["_leaf"]): r["budget"] for r in mixing.flowed(table, target).collect()}
+        want = mixing.budgets(leaves, target)
+        assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) <= 1
+    assert mixing.flowed(table.limit(0), mixing.Target()).count() == 0
+    rows = [(i, "w " * (i % 5), f"l{i % 3}", f"s{i % 11}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    target = mixing.Target(weights=weights, total=500 + seed, epochs=2, seed=seed)
+    taken = sorted((r.doc_id, r.epoch) for r in mixing.mix_sources(docs, target).collect())
+    monkeypatch.setattr(mixing, "SMALL_TREE", 2)
+    assert sorted((r.doc_id, r.epoch) for r in mixing.mix_sources(docs, target).collect()) == taken
+
+
 def test_quality_ledger(spark, docs, none):
     found = {r.doc_id: r for r in judged(docs).collect()}
     assert found[0].n_words == 0 and found[0].base_failed and not found[0].kept
