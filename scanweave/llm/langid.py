@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .exchange import columns, stored
+from .exchange import columns, stored, tidy
 from .textbytes import text_buffer
 
 #: Longest context in bytes.
@@ -167,9 +167,10 @@ def compile_trees(lang: np.ndarray, order: np.ndarray, string: np.ndarray, n: np
 def _threshold(tree: DataFrame, room: int, least: int) -> int:
     """The least number of times a context must be seen so that no more than ``room`` strings
     stay. There are fewer different numbers than the square root of twice the sample's bytes."""
-    numbers = tree.where("`order` > 0").groupBy("seen").count().toPandas().sort_values("seen", ascending=False)
-    fits = numbers["seen"][numbers["count"].cumsum() <= room]
-    return max(least, int(fits.min())) if len(fits) else (int(numbers["seen"].max()) + 1 if len(numbers) else least)
+    numbers = tree.where("`order` > 0").groupBy("seen").count().toArrow().sort_by([("seen", "descending")])
+    seen, count = (numbers[c].to_numpy() for c in ("seen", "count"))
+    fits = seen[np.cumsum(count) <= room]
+    return max(least, int(fits[-1])) if len(fits) else (int(seen[0]) + 1 if len(seen) else least)
 
 
 def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE, least: int = LEAST_SEEN) -> Model:
@@ -197,9 +198,13 @@ def train(docs: DataFrame, *, per_language: int = DOCS_PER_LANGUAGE, least: int
     tree = stored(every.withColumn("seen", F.sum("n").over(context)), "tree")
     languages = tuple(sorted(r["lang"] for r in tree.select("lang").distinct().collect()))
     room = min(STRINGS, MODEL_BYTES // (4 * max(1, len(languages))))
-    rows = tree.where((F.col("order") == 0) | (F.col("seen") >= _threshold(tree, room, least))).toPandas()  # the bound above
-    lang = np.searchsorted(np.array(languages, object), rows["lang"].to_numpy(object)) if len(rows) else np.zeros(0, np.int64)
-    return compile_trees(lang, *(rows[c].to_numpy().astype(np.int64) for c in ("order", "string", "n")), languages)
+    kept = tree.where((F.col("order") == 0) | (F.col("seen") >= _threshold(tree, room, least)))
+    rows = kept.select("lang", F.col("order").cast("long"), "string", "n").toArrow()  # the bound above
+    lang = pa.compute.index_in(rows["lang"], pa.array(languages, pa.string())).to_numpy()
+    model = compile_trees(lang, *(rows[c].to_numpy() for c in ("order", "string", "n")), languages)
+    del rows
+    tidy()
+    return model
 
 
 def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
