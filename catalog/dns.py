@@ -120,7 +120,9 @@ _MESH = """concat(flatten(transform(sequence(0, 4), i -> transform(filter(sequen
 def cname_bounded(spark, folder):
     """Paths of up to two aliases in a dense mesh, and where longer ones are cut off."""
     records = table(spark, folder, "customer").selectExpr("c_custkey AS record", _MESH)
-    records = materialize(records, scratch_dir(spark, "mesh"))
+    # The search is all the work, and a small file is one task: records are dealt out first.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    records = materialize(records, scratch_dir(spark, "mesh"), partitions=spread)
     pairs = resolve_cnames(records, keep=["record"], bag=True, max_hops=2)
     pairs = pairs.groupBy("record", "ip", "domain").agg(F.count(F.lit(1)).alias("paths"))
     cut = long_aliases(records, keep=["record"], bag=True, max_hops=2)

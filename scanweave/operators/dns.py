@@ -63,11 +63,11 @@ def resolve_cnames(
     form a dense mesh yields as many rows as it has paths. ``max_hops`` bounds the aliases
     of a path; what lies beyond is found by ``long_aliases``.
     """
-    rows = _searched(records, answers, keep, bag, max_hops).withColumn("_reached", F.col("_search.found"))
+    rows = _searched(records, answers, keep, bag, max_hops, "found")
     direct = F.transform("_hosts", lambda a: _pair(a, a["name"]))
     chased = F.flatten(
         F.transform(
-            "_reached",
+            "_found",
             lambda r: F.transform(
                 F.filter("_hosts", lambda a: F.array_contains(r["names"], a["name"])),
                 lambda a: _pair(a, r["root"]),
@@ -88,14 +88,16 @@ def long_aliases(
 ) -> DataFrame:
     """``(reason, payload)``: where ``resolve_cnames`` with the same bound stops, one row per alias
     owner and name that it would have gone on to."""
-    rows = _searched(records, answers, keep, bag, max_hops)
-    rows = rows.select(*keep, F.explode(F.array_distinct("_search.beyond")).alias("b"))
+    rows = _searched(records, answers, keep, bag, max_hops, "beyond")
+    # Exploding a bare column, Spark would filter on its size first, and search twice for that.
+    rows = rows.select(*keep, F.explode(F.flatten("_beyond")).alias("b"))
     return rows.select(*keep, F.lit("alias path too long").alias("reason"), F.to_json("b").alias("payload"))
 
 
 def _searched(
-    records: DataFrame, answers: str, keep: Sequence[str], bag: bool, max_hops: int | None
+    records: DataFrame, answers: str, keep: Sequence[str], bag: bool, max_hops: int | None, part: str
 ) -> DataFrame:
+    """The records' addresses ``_hosts``, and one part of the search: ``_found`` or ``_beyond``."""
     if max_hops is not None and max_hops < 1:
         raise ValueError("max_hops must be at least 1")
     rows = records.where(F.size(answers) > 0)
@@ -106,7 +108,7 @@ def _searched(
             "_alias": F.filter("_answers", lambda a: a["type"] == ALIAS_TYPE),
         }
     )
-    return rows.withColumn("_search", (_paths if bag else _closure)(F.col("_alias"), max_hops))
+    return rows.withColumn(f"_{part}", (_paths if bag else _closure)(F.col("_alias"), max_hops, part))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -119,53 +121,68 @@ def _rounds(alias: Column, most: int | None) -> Column:
     return alias if most is None else F.slice(alias, 1, most)
 
 
-def _paths(alias: Column, max_hops: int | None) -> Column:
-    """``(found [(root, [name])], beyond [(root, name)])``: one entry per loop-free path, and the
-    next name of each that is stopped. A path grows by one alias per round."""
+def _paths(alias: Column, max_hops: int | None, part: str) -> Column:
+    """``found [(root, [name])]``: one entry per loop-free path; or ``beyond [[(root, name)]]``: by
+    owner, the next names of those that are stopped. A path grows by one alias per round.
 
-    def step(root: Column, name: Column, seen: Column) -> Column:
-        return F.struct(root.alias("root"), name.alias("name"), seen.alias("seen"))
+    The aliases of each owner are listed first, each with the place among the owners of the name
+    it leads to (0 if that has no aliases): a path meets only the aliases of its last name."""
 
-    first = F.transform(
-        F.filter(alias, lambda c: c["name"] != c["data"]),
-        lambda c: step(c["name"], c["data"], F.array(c["name"], c["data"])),
-    )
-
-    def grow(path: Column) -> Column:
-        onward = F.filter(
-            alias,
-            lambda c: (c["name"] == path["name"]) & ~F.array_contains(path["seen"], c["data"]),
-        )
+    def listed(owner: Column, owners: Column) -> Column:
         return F.transform(
-            onward,
-            lambda c: step(path["root"], c["data"], F.concat(path["seen"], F.array(c["data"]))),
+            F.filter(alias, lambda c: c["name"] == owner),
+            lambda c: F.struct(c["data"].alias("name"), F.array_position(owners, c["data"]).cast("int").alias("at")),
         )
 
-    def round_(state: Column, _: Column) -> Column:
-        return _let(
-            F.flatten(F.transform(state["tips"], grow)),
-            lambda longer: F.struct(
-                longer.alias("tips"), F.concat(state["all"], longer).alias("all")
-            ),
-        )
+    def search(root: Column, own: Column, aliases: Column) -> Column:
+        def step(to: Column, seen: Column) -> Column:
+            return F.struct(to["name"].alias("name"), to["at"].alias("at"), F.array_append(seen, to["name"]).alias("seen"))
 
-    start = F.struct(first.alias("tips"), first.alias("all"))
-    rounds = _rounds(alias, None if max_hops is None else max_hops - 1)
+        def grow(path: Column) -> Column:
+            onward = F.filter(
+                F.get(aliases, path["at"] - 1), lambda to: ~F.array_contains(path["seen"], to["name"])
+            )
+            return F.transform(onward, lambda to: step(to, path["seen"]))
 
-    def ended(state: Column) -> Column:
-        found = F.transform(
-            state["all"], lambda p: F.struct(p["root"].alias("root"), F.array(p["name"]).alias("names"))
-        )
-        onward = F.flatten(F.transform(state["tips"], grow))
-        beyond = F.transform(onward, lambda p: F.struct(p["root"].alias("root"), p["name"].alias("name")))
-        return F.struct(found.alias("found"), beyond.alias("beyond"))
+        def onward(tips: Column) -> Column:
+            return F.flatten(F.transform(F.filter(tips, lambda p: p["at"] > 0), grow))
 
-    return _let(F.aggregate(rounds, start, round_), ended)
+        def names(paths: Column) -> Column:
+            return F.transform(paths, lambda p: p["name"])
+
+        def round_(state: Column, _: Column) -> Column:
+            grown = _let(
+                onward(state["tips"]),
+                lambda longer: F.struct(longer.alias("tips"), F.concat(state["all"], names(longer)).alias("all")),
+            )
+            return F.when(F.size(state["tips"]) > 0, grown).otherwise(state)
+
+        def ended(state: Column) -> Column:
+            if part == "found":
+                return F.transform(state["all"], lambda n: F.struct(root.alias("root"), F.array(n).alias("names")))
+            beyond = F.array_distinct(names(onward(state["tips"])))
+            return F.transform(beyond, lambda n: F.struct(root.alias("root"), n.alias("name")))
+
+        first = F.transform(F.filter(own, lambda to: to["name"] != root), lambda to: step(to, F.array(root)))
+        start = _let(first, lambda tips: F.struct(tips.alias("tips"), names(tips).alias("all")))
+        rounds = _rounds(alias, None if max_hops is None else max_hops - 1)
+        return _let(F.aggregate(rounds, start, round_), ended)
+
+    def searched(owners: Column, aliases: Column) -> Column:
+        each = F.zip_with(owners, aliases, lambda root, own: search(root, own, aliases))
+        return F.flatten(each) if part == "found" else each
+
+    return _let(
+        F.array_distinct(F.transform(alias, lambda c: c["name"])),
+        lambda owners: _let(
+            F.transform(owners, lambda owner: listed(owner, owners)), lambda aliases: searched(owners, aliases)
+        ),
+    )
 
 
-def _closure(alias: Column, max_hops: int | None) -> Column:
-    """``(found [(root, names)], beyond [(root, name)])``: one entry per alias owner with all names
-    it reaches, and the names that a bound keeps it from."""
+def _closure(alias: Column, max_hops: int | None, part: str) -> Column:
+    """``found [(root, names)]``: one entry per alias owner with all names it reaches; or
+    ``beyond [[(root, name)]]``: by owner, the names that a bound keeps it from."""
 
     def onward(state: Column) -> Column:
         further = F.filter(alias, lambda c: F.array_contains(state["tips"], c["name"]))
@@ -185,18 +202,13 @@ def _closure(alias: Column, max_hops: int | None) -> Column:
         return F.aggregate(_rounds(alias, max_hops), start, round_)
 
     def ended(root: Column, state: Column) -> Column:
-        beyond = F.transform(onward(state), lambda n: F.struct(root.alias("root"), n.alias("name")))
-        names = F.array_except(state["seen"], F.array(root))
-        return F.struct(root.alias("root"), names.alias("names"), beyond.alias("beyond"))
+        if part == "found":
+            names = F.array_except(state["seen"], F.array(root))
+            return F.struct(root.alias("root"), names.alias("names"))
+        return F.transform(onward(state), lambda n: F.struct(root.alias("root"), n.alias("name")))
 
     owners = F.array_distinct(F.transform(alias, lambda c: c["name"]))
-    each = F.transform(owners, lambda n: _let(reach(n), lambda state: ended(n, state)))
-
-    def split(each: Column) -> Column:
-        found = F.transform(each, lambda e: F.struct(e["root"].alias("root"), e["names"].alias("names")))
-        return F.struct(found.alias("found"), F.flatten(F.transform(each, lambda e: e["beyond"])).alias("beyond"))
-
-    return _let(each, split)
+    return F.transform(owners, lambda n: _let(reach(n), lambda state: ended(n, state)))
 
 
 def answer_errors(

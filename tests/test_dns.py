@@ -164,3 +164,23 @@ def test_errors(spark):
     df = df.union(spark.range(1).select(F.lit("b").alias("record"), partial.alias("answers")))
     got = {(r.record, r.reason) for r in answer_errors(df, keep=["record"]).collect()}
     assert got == {("a", "unknown type"), ("b", "incomplete answer")}
+
+
+@pytest.mark.parametrize("bag", [True, False])
+def test_search_is_in_the_plan_once(spark, bag):
+    df = records(spark, RECORDS)
+    for rows in (
+        resolve_cnames(df, keep=["record"], bag=bag, max_hops=2),
+        long_aliases(df, keep=["record"], bag=bag, max_hops=2),
+    ):
+        assert rows._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+
+
+def test_mesh_records_are_dealt_out(spark, tmp_path):
+    from catalog.dns import cname_bounded
+
+    spark.range(200).selectExpr("id AS c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    rows = cname_bounded(spark, str(tmp_path))
+    assert len(rows.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows.where("reason IS NULL").agg(F.sum("paths")).first()[0] == 200 * (1 + 4 + 12)
+    assert rows.where("reason IS NOT NULL").count() == 200 * 20
