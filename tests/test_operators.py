@@ -236,3 +236,10 @@ def test_workspace(spark, tmp_path):
     assert is_complete(spark, path) and first.count() == 5
     assert materialize(spark.range(9), path, resume=True).count() == 5
     assert materialize(spark.range(9), path).count() == 9
+
+
+def test_rows_of_a_lookup_are_not_sorted(spark, hub):
+    table = spark.range(0, 10_000, 2).select(F.concat(F.lit("t"), F.col("id")).alias("to"), F.col("id").alias("x"))
+    for heavy in (HeavyKeys(("to",)), heavy_keys(hub, ["to"], rows_per_task=1000)):
+        shown = plan(lookup_join(hub, table, "to", heavy))
+        assert "ShuffledHashJoin" in shown and "SortMergeJoin" not in shown
