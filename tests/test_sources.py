@@ -377,3 +377,27 @@ def test_exports_keep_blanks(spark, tmp_path):
     options = {"quote": '"', "escape": '"', "emptyValue": ""}
     back = spark.read.schema("id long, name string").csv(f"{tmp_path}/rows", **options)
     assert {r.id: r.name or "" for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_names_in_paths(spark):
+    from scanweave.sources.files import record_type, source_name
+
+    paths = ["file:/a/2024-01-02-dns/resolved-AAAA.x", "/AAAA/x", "/x", "x", "/a//x", "b/x-A", "/a/b/", ""]
+    rows = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = rows.select("p", source_name(F.col("p")).alias("s"), record_type(F.col("p")).alias("t")).collect()
+    assert [(r.s, r.t) for r in got] == [
+        ("2024-01-02-dns", "AAAA"), ("AAAA", "A"), ("", "A"), ("", "A"), ("", "A"), ("b", "A"), ("b", "A"), ("", "A")
+    ]
+    # Rows take these from their path: nothing there may search from every place of it.
+    shown = rows.select(source_name(F.col("p")), record_type(F.col("p")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in shown
+
+
+def test_headers_of_long_files(spark, tmp_path):
+    from scanweave.sources import files
+
+    for name, header in (("a", "id,Location"), ("b", '"x, y",z'), ("c", "only")):
+        (tmp_path / f"{name}.csv").write_text("\n".join([header, *(f"{i},v" for i in range(5000))]) + "\n")
+    paths = [f"file:{tmp_path}/{n}.csv" for n in "abc"]
+    want = {"a": ["id", "Location"], "b": ["x, y", "z"], "c": ["only"]}
+    assert {p[-5]: names for p, names in files.headers(spark, paths).items()} == want
