@@ -49,7 +49,7 @@ def usable(vector: Column, size: int) -> Column:
 def _scaled(x: np.ndarray, scale: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = np.floor(x * float(scale))
-    limit = reach(x.shape[-1])
+    limit = reach(max(x.shape[-1], 1))  # no vectors: an array without components
     if (np.abs(x) > limit).any():
         raise ValueError(f"a component is beyond {limit} after scaling: distances would not fit 64 bits")
     return x
