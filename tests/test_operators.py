@@ -8,10 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanweave.operators.degrees import attach_degrees, degrees, number_vertices
+from scanweave.operators import fold, skew
 from scanweave.operators.edges import (
     edge_members,
+    edge_rows,
     fold_edges,
     merge_observations,
+    pack_keys,
     resolve_endpoints,
     reverse_valid,
     semi_edges,
@@ -243,3 +246,50 @@ def test_rows_of_a_lookup_are_not_sorted(spark, hub):
     for heavy in (HeavyKeys(("to",)), heavy_keys(hub, ["to"], rows_per_task=1000)):
         shown = plan(lookup_join(hub, table, "to", heavy))
         assert "ShuffledHashJoin" in shown and "SortMergeJoin" not in shown
+
+
+def test_an_observation_is_one_row_of_the_fold(spark):
+    seen = spark.createDataFrame(
+        [(1, 2, "d1", "x", None), (1, 2, "d1", "x", True), (1, 2, "d2", None, False), (1, 3, None, None, None)],
+        "src long, dst long, scan_date string, sni string, valid boolean",
+    )
+    assert rows(edge_rows(seen, sets=["sni"])) == Counter([(1, 2, "d1", "x", True), (1, 2, "d2", None, False), (1, 3, None, None, None)])
+    assert edge_rows(seen.drop("valid"), sets=["sni"]).count() == 3
+
+
+def test_a_large_group_is_reduced_as_it_grows(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(fold, "_HELD_ROWS", 10)
+    pick = random.Random(3)
+    data = sorted([(k, pick.choice("abc"), pick.choice("xyz")) for k in (1, 2, 2, 2) for _ in range(50)])
+    for size in (3, 7, 200):
+        table = pa.table({"k": [r[0] for r in data], "d": [r[1] for r in data], "s": [r[2] for r in data], "f": [i == 60 for i in range(200)]})
+        made = list(fold._gather(iter(table.to_batches(size)), ["k"], {"d": "ds", "s": "ss"}, ["f"]))
+        got = [tuple(r.values()) for b in made for r in b.to_pylist()]
+        assert got == [(1, list("abc"), list("xyz"), False), (2, list("abc"), list("xyz"), True)]
+
+
+def test_packed_keys_are_as_different_as_texts(spark):
+    digits = "c_" + "0f" * 32
+    texts = ["", "a", "c_", digits, digits.upper(), digits[:-1], digits + "0", "\0c_" + "\x0f" * 32, "\1\0a", "\0a", "\1a", "d_é", None]
+    df = spark.createDataFrame([(t, t) for t in texts], "`from` string, t string")
+    packed = pack_keys(df, "from")
+    assert {len(r[0]) for r in packed.where(F.col("t") == digits).collect()} == {35}
+    assert packed.select("from").distinct().count() == len(texts) and pack_keys(packed, "from").schema == packed.schema
+    ids = assign_ids(df.select(F.col("t").alias("guid")))
+    edges = df.select("from", F.col("t").alias("to"))
+    assert resolve_endpoints(edges, ids).where("src = dst").count() == len(texts) - 1
+    assert rows(resolve_endpoints(pack_keys(edges, "from", "to"), ids)) == rows(resolve_endpoints(edges, ids))
+
+
+def test_ids_of_different_keys_need_no_second_shuffle(spark):
+    keys = spark.range(1000).select(F.sha1(F.col("id").cast("string").cast("binary")).alias("guid"))
+    assert rows(assign_ids(keys, distinct=True)) == rows(assign_ids(keys.union(keys)))
+
+
+def test_rows_are_scanned_again_for_candidates_only(spark, hub, monkeypatch):
+    stored = []
+    monkeypatch.setattr(skew, "materialize", lambda df, path: stored.append(path) or materialize(df, path))
+    assert not heavy_keys(hub, ["n"], rows_per_task=1000) and len(stored) == 1
+    assert heavy_keys(hub, ["to"], rows_per_task=1000).pieces == 4 and len(stored) == 3
