@@ -197,6 +197,14 @@ def test_counters(spark, scans, rules, tmp_path):
     assert counted["ids"] == counted["numbered"] == 12 and counted["returns_keys"] == 3
 
 
+def test_steps_are_small(spark, scans, rules, tmp_path):
+    build_graph(**scans, out=str(tmp_path / "out"), work=str(tmp_path / "work"), rules=rules)
+    keys = spark.read.parquet(str(tmp_path / "work" / "returns_keys"))
+    assert {len(r.to) for r in keys.collect()} == {35} and keys.count() == 3
+    files = written(spark, str(tmp_path / "work")) | written(spark, str(tmp_path / "out"))
+    assert files and all(".zstd." in f for f in files)
+
+
 def read_export(path):
     rows = []
     for part in sorted(Path(path, "rows").glob("part-*")):
