@@ -6,8 +6,9 @@ by what the texts are like and not by how much was seen. A document's score is i
 per word under the target less that under the background.
 
 Words and bigrams are counted by 64-bit hashes, in tables that grow with the corpus. Neither
-tables nor texts pass through the driver: texts are kept in chunks, a chunk asks for each of
-its n-grams once, and what the tables answer returns to the chunk. So a frequent n-gram
+tables nor texts pass through the driver: texts are kept in chunks, sealed by the Python
+workers so that the JVM only moves them, a chunk asks for each of its n-grams once, and
+what the tables answer returns to the chunk. So a frequent n-gram
 costs one key per chunk, and no table is held as a whole anywhere. Where the counted texts
 are the scored ones (``score_corpus``), a chunk's counts are its question as well.
 """
@@ -78,6 +79,22 @@ def _chunks(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[list[pa.
         yield [pa.concat_arrays(c) for c in zip(*held)]
 
 
+def _sealed(texts: pa.Array, docs: pa.Array, targets: pa.Array) -> bytes:
+    """A chunk as one compressed value: nested columns of its texts would be unpacked, padded
+    and copied by each step of the JVM that they pass."""
+    batch = pa.RecordBatch.from_arrays([texts, docs, targets], ["text", "doc_id", "target"])
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=1), use_threads=False)
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _opened(docs: pa.BinaryScalar) -> pa.RecordBatch:
+    options = pa.ipc.IpcReadOptions(use_threads=False)
+    return pa.ipc.open_stream(docs.as_buffer(), options=options).read_next_batch()
+
+
 def _narrow(counts: np.ndarray) -> bytes:
     """Counts in the smallest type that holds them, low bytes first: high ones are mostly zeros.
     ``_counts`` finds the type by the length."""
@@ -116,10 +133,11 @@ def bits_for(size: int) -> int:
 
 
 def _count(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    for chunks, texts, targets in columns(batches, "chunk", "text", "target"):
-        for chunk, text, target in zip(chunks, texts, targets):
-            word, context, pair, counts = _cells(*text_buffer(text.values))
-            own = np.repeat(target.values.to_numpy(zero_copy_only=False).astype(np.int64), counts)
+    for chunks, docs in columns(batches, "chunk", "docs"):
+        for chunk, held in zip(chunks, docs):
+            text, _, target = _opened(held)
+            word, context, pair, counts = _cells(*text_buffer(text))
+            own = np.repeat(target.to_numpy(zero_copy_only=False).astype(np.int64), counts)
             # A word and its use as a context share a key: rows are seen 0, 1, as a context 0, 1.
             both = np.concatenate([own, own + 2])
             for kind, seen, row in ((_WORD, np.concatenate([word, context]), both), (_PAIR, pair, own)):
@@ -227,13 +245,14 @@ class _One:
 
 def _pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for cols in _chunks(batches, "text", "doc_id", "target"):
-        whole = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in cols]
-        yield pa.RecordBatch.from_arrays(whole, ["text", "doc_id", "target"])
+        size = int(text_buffer(cols[0])[1][-1])
+        docs = pa.array([_sealed(*cols)], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([size], pa.int64()), docs], ["size", "docs"])
     tidy()
 
 
 def _stored_chunks(docs: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """``chunk, text, doc_id, target``: about ``CHUNK`` bytes of texts in a row, kept with the ids
+    """``chunk, size, docs``: about ``CHUNK`` bytes of texts in a row (``size``), sealed with the ids
     and whether the id is in ``target``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     if target is None:
@@ -245,17 +264,16 @@ def _stored_chunks(docs: DataFrame, target: DataFrame | None = None) -> DataFram
         if ids.count() <= BROADCAST_IDS:
             chosen = F.broadcast(chosen)
         rows = rows.join(chosen, "doc_id", "left").withColumn("target", F.coalesce("target", F.lit(False)))
-    packed = rows.mapInArrow(_pack, "text array<string>, doc_id array<long>, target array<boolean>")
+    packed = rows.select("text", "doc_id", "target").mapInArrow(_pack, "size long, docs binary")
     return stored(packed.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
 
 
 def _bits_of(chunks: DataFrame) -> int:
-    size = F.aggregate("text", F.lit(0).cast("long"), lambda n, t: n + F.coalesce(F.octet_length(t), F.lit(0)))
-    return bits_for(chunks.agg(F.sum(size)).first()[0] or 0)
+    return bits_for(chunks.agg(F.sum("size")).first()[0] or 0)
 
 
 def _counted(chunks: DataFrame, bits: int) -> DataFrame:
-    rows = chunks.select("chunk", "text", "target")
+    rows = chunks.select("chunk", "docs")
     return rows.mapInArrow(partial(_count, bits=bits), "chunk long, bucket int, keys binary, counts binary")
 
 
@@ -289,9 +307,9 @@ def _keys(word: np.ndarray, pair: np.ndarray) -> Iterator[tuple[int, np.ndarray,
 
 
 def _ask(batches: Iterable[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
-    for chunks, texts in columns(batches, "chunk", "text"):
-        for chunk, text in zip(chunks, texts):
-            word, _, pair, _ = _cells(*text_buffer(text.values))
+    for chunks, docs in columns(batches, "chunk", "docs"):
+        for chunk, held in zip(chunks, docs):
+            word, _, pair, _ = _cells(*text_buffer(_opened(held)["text"]))
             for kind, keys, _ in _keys(word, pair):
                 cut = list(_by_bucket(keys, kind, bits))
                 yield pa.RecordBatch.from_pydict({
@@ -325,7 +343,7 @@ def _settle(counted: pa.Table, bits: int) -> pa.Table:
 
 
 def _score(chunk: pa.Table, answers: pa.Table, mass: Mass, bits: int) -> pa.Table:
-    doc, text = (chunk[c].combine_chunks().flatten() for c in ("doc_id", "text"))
+    text, doc, _ = _opened(chunk["docs"][0])
     word, _, pair, words = _cells(*text_buffer(text))
     told = dict(zip(answers["bucket"].to_pylist(), answers["counts"].to_pylist()))
     known, at = {}, {}
@@ -355,7 +373,7 @@ def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
     not looked at.
     """
     chunks, bits = _stored_chunks(docs), models.bits
-    asked = chunks.select("chunk", "text").mapInArrow(partial(_ask, bits=bits), "chunk long, bucket int, keys binary")
+    asked = chunks.select("chunk", "docs").mapInArrow(partial(_ask, bits=bits), "chunk long, bucket int, keys binary")
     tables = models.table.select("bucket", "keys", "counts").groupBy("bucket")
     answers = asked.groupBy("bucket").cogroup(tables).applyInArrow(partial(_answer, bits=bits), "chunk long, bucket int, counts binary")
     return _scored(chunks, stored(answers, "answers"), models.mass, bits)
@@ -363,7 +381,7 @@ def cross_entropy_difference(docs: DataFrame, models: Models) -> DataFrame:
 
 def _scored(chunks: DataFrame, answers: DataFrame, mass: Mass, bits: int) -> DataFrame:
     schema = "doc_id long, n_words long, target_loss double, background_loss double, score double"
-    own = chunks.select("chunk", "doc_id", "text").groupBy("chunk")
+    own = chunks.select("chunk", "docs").groupBy("chunk")
     answers = answers.select("chunk", "bucket", "counts").groupBy("chunk")
     return own.cogroup(answers).applyInArrow(partial(_score, mass=mass, bits=bits), schema)
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -214,6 +215,20 @@ def test_lm_counts_every_bigram_by_itself(spark, monkeypatch):
         assert (found[i].background_loss, found[i].target_loss) == pytest.approx(losses, rel=1e-9)
 
 
+def test_lm_texts_are_sealed_while_the_jvm_holds_them(spark, docs):
+    # As arrays of plain texts, chunks took an executor over its memory.
+    labels = spark.createDataFrame([(8,)], "doc_id long")
+    chunks = lm._stored_chunks(docs, labels)
+    assert dict(chunks.dtypes) == {"chunk": "bigint", "size": "bigint", "docs": "binary"}
+    found, size = Counter(), sum(len((t or "").encode()) for _, t in _rows(docs))
+    for r in chunks.collect():
+        own = lm._opened(pa.scalar(bytes(r["docs"]), pa.binary())).to_pylist()
+        assert r["size"] == sum(len((d["text"] or "").encode()) for d in own)
+        found.update((d["doc_id"], d["text"], d["target"]) for d in own)
+    assert found == Counter((d, t, d == 8) for d, t in _rows(docs))
+    assert sum(len(r["docs"]) for r in chunks.collect()) < size / 4
+
+
 def test_budgets_go_to_siblings_before_ancestors():
     leaves = {("a", "x", "1"): 10, ("a", "x", "2"): 1000, ("a", "y", "1"): 1000, ("b", "x", "1"): 1000}
     got = mixing.budgets(leaves, mixing.Target(total=800))
