@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,25 @@ def test_near_duplicates_of_nothing(none):
     assert near_duplicates(none).count() == 0
 
 
+def test_blocks_are_multiplied_one_after_the_other():
+    from scanweave.llm import jaccard
+
+    read, grams = [], [np.arange(k, 40 + k, dtype=np.uint64).tobytes() for k in (0, 1, 90)]
+
+    def batches():
+        for cluster in range(5):  # three sets a block, of which two are near; cut across batches
+            for cls in range(3):
+                read.append(cluster)
+                yield jaccard._block_rows([(cluster, 0, 0, 0, 10 * cluster + cls, grams[cls])])
+
+    held, found = [], []
+    for batch in jaccard._multiply(batches()):
+        held.append(read[-1])
+        found += batch.to_pylist()
+    assert held == [1, 2, 3, 4, 4]  # not all blocks before the first result
+    assert found == [{"a": 10 * k + c, "b": 10 * k + (c == 2) * 2, "links": int(c < 2)} for k in range(5) for c in range(3)]
+
+
 def test_one_of_each(docs, rows):
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
