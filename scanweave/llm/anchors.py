@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .exchange import buckets, columns, longs, pack, split_by, unpack
+from .exchange import buckets, columns, longs, pack, split_by, tidied, unpack
 from .textbytes import (
     byte_span_hash,
     byte_sums,
@@ -175,18 +175,19 @@ def _merged(own: Segments) -> Segments:
 
 
 def _portions(batches: Iterable[pa.RecordBatch], scheme: Scheme) -> Iterator[Segments]:
+    waiting, held = [], 0
     for doc, row, text in columns(batches, "doc_id", "row", "text"):
-        waiting, held = [], 0
         for own in segments(text, longs(doc, _FIRST), longs(row), scheme):
             waiting.append(own)
             held += len(own.key)
             if held >= PORTION:
                 yield join(waiting)
                 waiting, held = [], 0
-        if waiting:
-            yield join(waiting)
+    if waiting:
+        yield join(waiting)
 
 
+@tidied
 def _scan(batches: Iterable[pa.RecordBatch], scheme: Scheme, parts: int) -> Iterator[pa.RecordBatch]:
     for own in _portions(batches, scheme):
         first, settled = collapse(own, scheme.everywhere)
@@ -216,6 +217,7 @@ def _wrapped(batch: pa.RecordBatch) -> pa.RecordBatch:
 _FOUND_KINDS = ("?", "?", "i8", "i8", "i8", "i8", "i4", "i4", "i4")
 
 
+@tidied
 def _meet(batches: Iterable[pa.RecordBatch], scheme: Scheme, limit: int) -> Iterator[pa.RecordBatch]:
     parts = []
     for data, ready in columns(batches, "data", "found"):
@@ -225,6 +227,7 @@ def _meet(batches: Iterable[pa.RecordBatch], scheme: Scheme, limit: int) -> Iter
             else:
                 parts.append(Segments(*unpack(d.as_buffer(), *KINDS)))
     own = join(parts)
+    parts.clear()
     marked = np.unique(own.key[own.times == 0])
     own = own.take(own.times > 0)
     if not len(own.key):

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .exchange import columns, stored, tidy
+from .exchange import columns, stored, tidied, tidy
 from .textbytes import text_buffer
 
 #: Longest context in bytes.
@@ -113,6 +113,7 @@ def strings(raw: np.ndarray, offsets: np.ndarray, a: int, b: int) -> np.ndarray:
     return out
 
 
+@tidied
 def _train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, text in columns(batches, "lang", "text"):
         for name in lang.unique().to_pylist():
@@ -229,12 +230,13 @@ def code_lengths(model: Model, raw: np.ndarray, offsets: np.ndarray) -> np.ndarr
     return out
 
 
-def _predict(batches: Iterable[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
+@tidied
+def _predict(batches: Iterable[pa.RecordBatch], model, read: str) -> Iterator[pa.RecordBatch]:
     model = model.value
     for batch in batches:
         if not batch.num_rows:
             continue
-        letters, text = batch.column("_letters"), batch.column("_text")
+        letters, text = batch.column("_letters"), batch.column(read)
         raw, offsets = text_buffer(text)
         bits = code_lengths(model, raw, offsets)
         known = letters.fill_null(False).to_numpy(zero_copy_only=False) & bool(model.languages)
@@ -256,8 +258,11 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
     text = F.col("text").cast("string")
     rows = docs.drop("lang_pred", "score", "bits_per_byte")
     schema = T.StructType([*rows.schema.fields, *T._parse_datatype_string("lang_pred string, score double, bits_per_byte double").fields])
-    rows = rows.withColumns({"_letters": F.coalesce(text.rlike(r"\p{L}"), F.lit(False)), "_text": text})
-    return rows.mapInArrow(partial(_predict, model=shared), schema)
+    own = any(f.name == "text" and f.dataType == T.StringType() for f in rows.schema.fields)
+    rows = rows.withColumn("_letters", F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
+    if not own:  # else the text goes to Python once
+        rows = rows.withColumn("_text", text)
+    return rows.mapInArrow(partial(_predict, model=shared, read="text" if own else "_text"), schema)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .exchange import row_key, stored, unused
+from .exchange import local_table, row_key, stored, unused
 
 LEVELS = ("domain", "lang", "source")
 UNKNOWN = "unknown"
@@ -147,7 +147,7 @@ def cuts(rows: DataFrame, target: Target) -> DataFrame:
     if count <= SMALL_TREE:
         held = {tuple(r["_leaf"]): r["tokens"] for r in leaves.collect()}
         schema = "_leaf struct<domain string, lang string, source string>, tokens long, budget long"
-        plan = spark.createDataFrame([(k, held[k], b) for k, b in budgets(held, target).items()], schema)
+        plan = local_table(spark, [(dict(zip(LEVELS, k)), held[k], b) for k, b in budgets(held, target).items()], schema)
     else:
         plan = stored(flowed(leaves, target), "budgets")
     plan = plan.withColumn("whole", F.when(F.col("tokens") > 0, F.expr("budget div nullif(tokens, 0)")).otherwise(0))

@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .exchange import columns, stored, texts, tidy
+from .exchange import TEXT_ROWS, columns, local_table, stored, texts, tidied
 from .tokens import UNSETTLED, tokenizer
 
 #: Fixed value: how the word tokenizer cuts normalized text into words.
@@ -132,6 +132,7 @@ def _ids(path: str) -> Ids:
     return Ids(path)
 
 
+@tidied
 def _cut(batches: Iterable[pa.RecordBatch], path: str, size: int) -> Iterator[pa.RecordBatch]:
     ids, end, step = _ids(path), np.array([END_ID], "<u4").tobytes(), 4 * size
     for doc, row, text in columns(batches, "doc_id", "row", "text"):
@@ -150,7 +151,6 @@ def _cut(batches: Iterable[pa.RecordBatch], path: str, size: int) -> Iterator[pa
         made = [doc.take(take), row.take(take), *(pa.array(v, pa.int64()) for v in (start, length, crc, total))]
         yield pa.RecordBatch.from_arrays(made, ["doc_id", "row", "start", "length", "ids_crc32", "doc_tokens"])
     ids.runs, ids.words = Recent(RUNS), Recent(WORDS)
-    tidy()
 
 
 def cut_documents(docs: DataFrame, path: str, size: int) -> DataFrame:
@@ -329,11 +329,11 @@ def pack_documents(docs: DataFrame, path: str, *, size: int = 2048, grain: int =
     if size % grain:
         raise ValueError("the sequence length must be a multiple of grain")
     spark = docs.sparkSession
-    pieces = stored(cut_documents(docs, path, size), "pieces")
+    pieces = stored(cut_documents(docs, path, size), "pieces", batch_rows=TEXT_ROWS)
     pieces = pieces.withColumn("cls", F.ceil(F.col("length") / grain).cast("int"))
     histogram = {r["cls"]: r["count"] for r in pieces.groupBy("cls").count().collect()}  # size / grain rows at most
-    slots = spark.createDataFrame(
-        _slots(plan(histogram, size // grain)), "cls int, first long, last long, per long, sequence long"
+    slots = local_table(
+        spark, _slots(plan(histogram, size // grain)), "cls int, first long, last long, per long, sequence long"
     )
     pieces = ranked(pieces, sum(histogram.values()))
     within = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))

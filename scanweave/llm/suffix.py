@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .anchors import Scheme, covered, list_columns, repeated, with_lists
-from .exchange import buckets, columns, longs, stored, texts
+from .exchange import TEXT_ROWS, buckets, columns, longs, stored, texts, tidied
 from .textbytes import text_buffer
 
 LENGTH = 100
@@ -49,6 +49,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, _TYPES)], _NAMES)
 
 
+@tidied
 def _rank(batches: Iterable[pa.RecordBatch], span: int, length: int) -> Iterator[pa.RecordBatch]:
     """Cut segments into ranges of ``span`` offsets and name each by the string that all of
     its windows share (``key``) and by the string it covers (``content``)."""
@@ -83,6 +84,7 @@ def _fetch_and_rank(batches: Iterable[pa.RecordBatch], span: int, length: int) -
     return _rank(_fetch(batches, length), span, length)
 
 
+@tidied
 def _rerank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted rows: what equals the row before is settled, the first of each content goes
     on if its key has another content."""
@@ -124,6 +126,7 @@ def _rerank(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last = (key[h], content[h], (doc[h], row[h], start[h]))
 
 
+@tidied
 def _remove(batches: Iterable[pa.RecordBatch], length: int, keep: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     for doc, text, ranges, *more in columns(batches, "doc_id", "text", "ranges", *keep):
         raw, offsets = text_buffer(text)
@@ -145,7 +148,7 @@ def earlier_strings(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     that also starts earlier."""
     scheme = Scheme(words=False, window=length, gram=gram, everywhere=False)
     parts = buckets(rows.sparkSession)
-    first = stored(repeated(rows, scheme), "anchors")
+    first = stored(repeated(rows, scheme), "anchors", batch_rows=TEXT_ROWS)
     asked = with_lists(rows.select("row", "text"), first.where("open"), "asked", "inner", "key", "doc", "start", "n", "lead")
     still, rank = asked, _fetch_and_rank
     done = [first.where("NOT open").select("row", "start", "n")]
