@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,6 +112,72 @@ def test_blocks_are_multiplied_one_after_the_other():
     assert found == [{"a": 10 * k + c, "b": 10 * k + (c == 2) * 2, "links": int(c < 2)} for k in range(5) for c in range(3)]
 
 
+def _posted(texts, parts):
+    from types import SimpleNamespace
+
+    from scanweave.llm import jaccard
+
+    levels = SimpleNamespace(value=np.zeros(1 << jaccard.CELL_BITS, np.uint8))
+    found = {}
+    for k in range(0, len(texts), 4):
+        batch = pa.RecordBatch.from_pydict({"text": pa.array(texts[k : k + 4])})
+        for out in jaccard._postings([batch], levels, parts):
+            for r in out.to_pylist():
+                found.setdefault(r["bucket"], []).append(pa.RecordBatch.from_pydict({"data": [r["data"]]}))
+    return [r for b in found.values() for out in jaccard._pairs(b) for r in out.to_pylist()]
+
+
+def test_pairs_of_near_copies_are_few_and_count_what_is_shared():
+    from scanweave.llm import jaccard
+
+    rng = random.Random(3)
+    base, texts = [f"w{rng.random()}" for _ in range(600)], []
+    for k in range(8):
+        words = list(base)
+        for _ in range((k + 2) // 3):
+            words[rng.randrange(600)] = f"x{rng.random()}"
+        texts.append(" ".join(words))
+    sets = {jaccard.set_class(g): g for g in jaccard._sets(pa.array(texts))}
+    prefix = {c: set((g >> np.uint64(16))[: jaccard.prefix_size(len(g))].tolist()) for c, g in sets.items()}
+    rows = _posted(texts, 64)
+    shared = Counter()
+    for r in rows:
+        shared[r["a"], r["b"]] += r["shared"]
+    want = {(a, b): len(prefix[a] & prefix[b]) for a in sets for b in sets if a < b}
+    assert dict(shared) == want and sum(want.values()) > 1500
+    assert len(rows) < 20 * len(want)  # not one for each shared column and bucket: 52 buckets a pair
+
+
+def test_pairs_with_a_missing_end_stay(spark):
+    from scanweave.llm import jaccard
+
+    rows = [(1, 2, 100, 100, jaccard._OPEN + 3), (1, 3, 100, 100, -jaccard._OPEN - 3), (1, 4, 100, 100, 3), (1, 5, 100, 100, None)]
+    rows += [(1, 6, 100, 100, -jaccard._OPEN), (1, 6, 100, 100, jaccard._OPEN + 12)]
+    found = jaccard._candidates(spark.createDataFrame(rows, jaccard.PAIRS)).collect()
+    assert sorted(r.b for r in found) == [2, 3, 5, 6]
+
+
+def test_only_texts_of_clusters_travel_and_sealed():
+    from types import SimpleNamespace
+
+    from scanweave.llm import jaccard
+
+    keys = np.array([5, -7, 2**62, -(2**63), 99], np.int64)
+    texts = ["one two three four five six", "alone", None, "é " * 50, "and so on"]
+    near = pa.RecordBatch.from_pydict({"row": pa.array(keys[[0, 3]])})
+    marks = np.zeros((64, 1 << 7), np.uint8)
+    for out in jaccard._marked([near], 16):
+        for r in out.to_pylist():
+            marks[r["block"]] |= np.frombuffer(r["bits"], np.uint8)
+    batch = pa.RecordBatch.from_pydict({"row": pa.array(keys), "text": pa.array(texts)})
+    sent = [r for out in jaccard._sealed([batch], SimpleNamespace(value=marks.ravel())) for r in out.to_pylist()]
+    assert {r["row"] for r in sent} == {5, 99, -(2**63)}  # 99 begins like 5
+    rows = pa.RecordBatch.from_pylist([{"cluster": 1, "i": 0, "j": 0, "own": 0, "cls": r["row"], "text": r["text"]} for r in sent])
+    opened = {r["cls"]: r["grams"] for out in jaccard._opened([rows]) for r in out.to_pylist()}
+    want = dict(zip(keys.tolist(), jaccard._sets(pa.array(texts))))
+    assert opened == {k: want[k].tobytes() for k in opened}
+
+
 def test_one_of_each(docs, rows):
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
