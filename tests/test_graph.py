@@ -231,3 +231,27 @@ def test_header():
     assert graph_header(["scan_date", "isCa", "basicConstraints", "locations"]) == [
         "scan_date:date", "isCa:boolean", "basicConstraints:boolean", "locations:string[]",
     ]
+
+
+def test_steps_go_once_they_are_read(spark, scans, rules, graph, tmp_path, monkeypatch):
+    from scanweave.plans import graph as plan
+
+    released, release = [], plan.release_steps
+    monkeypatch.setattr(plan, "scratch_dir", lambda spark, label: str(tmp_path / "work"))
+    monkeypatch.setattr(plan, "release_steps", lambda spark: (released.append(1), release(spark)))
+    for k, options in enumerate(({}, {"members": True})):
+        tables = build_graph(**scans, out=str(tmp_path / str(k)), rules=rules, **options)
+        assert texts_of(tables) == texts_of(graph)
+        assert not [p for p in (tmp_path / "work").rglob("part-*")]
+    assert len(released) > 30  # before every step
+
+
+def test_some_redirects(spark, scans, monkeypatch):
+    from scanweave.plans import graph as plan
+
+    hosts = scans["hosts"].where("id = 1")
+    http = scans["http"].withColumn("redirect_host", F.lit("example.org"))
+    every = sorted(map(str, plan.redirect_observations(http, hosts).collect()))
+    assert every and set(map(str, plan._some_redirects(http, hosts, match_source=True).collect())) <= set(every)
+    monkeypatch.setattr(plan, "_SEEN", 1)
+    assert sorted(map(str, plan._some_redirects(http, hosts, match_source=True).collect())) == every

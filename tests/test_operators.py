@@ -13,11 +13,13 @@ from scanweave.operators.edges import (
     edge_members,
     edge_rows,
     fold_edges,
+    folds_at_once,
     merge_observations,
     pack_keys,
     resolve_endpoints,
     reverse_valid,
     semi_edges,
+    small_kinds,
 )
 from scanweave.operators.ids import assign_ids
 from scanweave.operators.cluster import cluster_by_id
@@ -293,3 +295,33 @@ def test_rows_are_scanned_again_for_candidates_only(spark, hub, monkeypatch):
     monkeypatch.setattr(skew, "materialize", lambda df, path: stored.append(path) or materialize(df, path))
     assert not heavy_keys(hub, ["n"], rows_per_task=1000) and len(stored) == 1
     assert heavy_keys(hub, ["to"], rows_per_task=1000).pieces == 4 and len(stored) == 3
+
+
+def test_rows_that_hardly_repeat_are_shuffled_once(spark):
+    pick = random.Random(9)
+    days = [date(2024, 1, d) for d in range(1, 6)] + [None]
+    data = [(pick.randrange(60), 9, pick.choice(days), pick.choice(["x", "y", None]), pick.choice([True, False, None])) for _ in range(900)]
+    seen = spark.createDataFrame(data, "src int, dst int, scan_date date, sni string, valid boolean")
+    sets = {"sni": "names"}
+    once = fold_edges(seen, sets=sets, reduce_first=False)
+    twice = fold_edges(seen, sets=sets)
+    assert [plan(x).count("Exchange hash") for x in (once, twice)] == [1, 2]
+    assert sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+    assert folds_at_once(seen.distinct()) and not folds_at_once(seen.union(seen))
+    # An edge with more rows than a task should take is reduced first.
+    assert not folds_at_once(seen.distinct(), share=skew.ROWS_PER_TASK // 10)
+    assert folds_at_once(seen.limit(0))
+
+
+def test_small_kinds_are_broadcast(spark, monkeypatch):
+    from scanweave.operators import edges as module
+
+    monkeypatch.setattr(module, "SMALL_KIND", 5)
+    ids = assign_ids(spark.range(8).selectExpr("concat('d_', id) AS guid").union(spark.range(5).selectExpr("concat('ip_', id) AS guid")))
+    assert small_kinds(ids, ["d_", "ip_", "c_"]) == ["ip_", "c_"]
+    seen = spark.range(60).selectExpr("concat('ip_', id % 6) AS `from`", "IF(id % 11 > 0, concat('d_', id % 7), NULL) AS `to`", "id AS n")
+    for kinds in ({"src_kinds": ["ip_"], "dst_kinds": ["d_"]}, {"src_kinds": ["ip_"], "dst_kinds": ["c_", "d_"]}):
+        found = resolve_endpoints(seen, ids, **kinds, split_heavy=False, small_kinds=["ip_", "c_"])
+        assert plan(found).count("ShuffledHashJoin") == 1
+        assert plan(found).count("Exchange hash") == 2  # of the rows and of the ids of the other kind
+        assert rows(found) == rows(resolve_endpoints(seen, ids, **kinds, split_heavy=False))
